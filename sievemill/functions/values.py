@@ -125,11 +125,14 @@ def content_hash(col: Column | str) -> Column:
     return F.sha2(_c(col), 256)
 
 
-def local_iso(ts: Column | str, zone: str = "Asia/Taipei") -> Column:
-    """A UTC time as ISO-8601 text in ``zone``; microseconds are left out when zero."""
-    utc = _c(ts).cast("timestamp")
-    local = F.from_utc_timestamp(utc, zone)
-    minutes = ((F.unix_micros(local) - F.unix_micros(utc)) / 60_000_000).cast("int")
+def local_iso(utc: Column | str, zone: str = "Asia/Taipei") -> Column:
+    """A UTC time without zone as ISO-8601 text in ``zone``; microseconds are left out when zero.
+
+    The session's time zone plays no part.
+    """
+    utc = _c(utc).cast("timestamp_ntz")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    minutes = F.timestamp_diff("MINUTE", utc, local).cast("int")
     offset = F.format_string(
         "%s%02d:%02d",
         F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")),

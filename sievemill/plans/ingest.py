@@ -264,11 +264,11 @@ def ingest_files(
 
     ended = dt.datetime.now(dt.timezone.utc)
     report = outcomes.run_counters(files_out).withColumn("status", outcomes.run_status())
-    at = lambda t: local_iso(F.lit(t.replace(tzinfo=None).isoformat(" ")).cast("timestamp"), time_zone)
+    at = lambda t: local_iso(F.lit(t.replace(tzinfo=None).isoformat(" ")), time_zone)
     report = outcomes.with_clock(report, run_id, at(started), at(ended), time.perf_counter() - clock)
     # The ledger comes last: a run that breaks off before is simply run again.
     news = files_out.filter(F.coalesce(F.col("message"), F.lit("")) != "already ingested")
-    entries = led.ledger_entries(news, F.lit(ended.replace(tzinfo=None).isoformat(" ")))
+    entries = led.ledger_entries(news, F.lit(ended))
     warehouse.append(LEDGER_TABLE, entries, run_id)
     return IngestRun(run_id, members, files_out, report)
 

@@ -110,7 +110,7 @@ def still_quoted(line: str, inside: bool) -> bool:
 
 
 def _blank(line: str) -> bool:
-    return not line.strip(" \t")
+    return not line.strip(" \t\r\n")
 
 
 def iter_records(text: io.TextIOBase) -> Iterator[list[str]]:
@@ -172,11 +172,12 @@ def _member_rows(base: dict, opener: Opener) -> Iterator[dict]:
                 if header is None:
                     header = records[0].removeprefix("\ufeff")
                     records = records[1:]
-                yield {**row, "header": header, "chunk_no": chunk_no, "first_row": first_row, "records": records}
-                chunk_no += 1
-                first_row += len(records)
-        if header is None:
-            yield row
+                if records:
+                    yield {**row, "header": header, "chunk_no": chunk_no, "first_row": first_row, "records": records}
+                    chunk_no += 1
+                    first_row += len(records)
+        if chunk_no == 0:
+            yield {**row, "header": header}
     except Exception as e:  # any fault of a file is that file's outcome
         yield {**row, "error": f"{type(e).__name__}: {e}"}
 
