@@ -18,12 +18,16 @@ NULL_TOKENS = (
 # Trimmed texts that mean "no value" in a volume column.
 VOLUME_NULL_TOKENS = ("--", "", "None", "nan", "NaN")
 
-# Accepted number shape and date formats.
+# Accepted shapes of numbers and dates.
 NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-DATE_FORMATS = ("yyyy/M/d", "yyyy-M-d")
+INTEGER_SHAPE = r"^\s*[+-]?\d{1,19}\s*$"
+DATE_SHAPE = r"^\d{4}(/\d{1,2}/|-\d{1,2}-)\d{1,2}$"
 
-# White space of any script, as header names and volumes come padded with it.
-_EDGE_SPACE = r"^[\s\p{Z}\x0B\x1C-\x1F\x85]+|[\s\p{Z}\x0B\x1C-\x1F\x85]+$"
+# What counts as white space around names and volumes, whatever the script.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _c(col: Column | str) -> Column:
@@ -41,9 +45,13 @@ def text_or_null(col: Column | str, tokens: Iterable[str] = NULL_TOKENS) -> Colu
     return F.when(~col.isin(*tokens), col)
 
 
+def strip(col: Column | str) -> Column:
+    return F.btrim(_c(col), F.lit(WHITE_SPACE))
+
+
 def null_if_token(col: Column | str, tokens: Iterable[str] = VOLUME_NULL_TOKENS) -> Column:
     """Trimmed text, NULL where it is one of ``tokens``."""
-    trimmed = F.regexp_replace(_c(col), _EDGE_SPACE, "")
+    trimmed = strip(col)
     return F.when(~trimmed.isin(*tokens), trimmed)
 
 
@@ -52,34 +60,41 @@ def strip_thousands(col: Column | str) -> Column:
 
 
 def coerce_numeric(col: Column | str) -> Column:
-    """Text to double; anything that is not a plain finite number becomes NULL.
+    """Text to double; anything that is not written as a plain number becomes NULL.
 
     A bare cast would also take ``1.5d``, ``NaN`` and ``Infinity``, so the shape is checked first.
     """
     col = _c(col)
-    number = F.when(col.rlike(NUMBER_SHAPE), F.trim(col).try_cast("double"))
-    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
+    return F.when(col.rlike(NUMBER_SHAPE), F.trim(col).try_cast("double"))
+
+
+def _written_integer(text: Column) -> Column:
+    # Digits only: a failed cast raises and catches an exception inside Spark, once per value.
+    return F.when(text.rlike(INTEGER_SHAPE), F.trim(text).try_cast("bigint"))
 
 
 def fits_bigint(text: Column | str, number: Column) -> Column:
     """Whether a text with numeric value ``number`` is a whole number in the range of bigint."""
     whole = (number == F.floor(number)) & (F.abs(number) < F.lit(9.223372036854775e18))
-    return whole | F.trim(_c(text)).try_cast("bigint").isNotNull()
+    return whole | _written_integer(_c(text)).isNotNull()
 
 
 def coerce_integer(col: Column | str) -> Column:
     """Text to bigint. ``100.0`` is 100, ``1.5`` is NULL, and integers beyond 2^53 keep every digit."""
     col = _c(col)
     number = coerce_numeric(col)
-    return F.coalesce(
-        F.trim(col).try_cast("bigint"), F.when(fits_bigint(col, number), number.try_cast("bigint"))
-    )
+    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(9.223372036854775e18))
+    return F.coalesce(_written_integer(col), F.when(whole, number.try_cast("bigint")))
 
 
 def parse_date(col: Column | str) -> Column:
-    """First of the accepted formats that fits; one- and two-digit months and days are the same."""
-    trimmed = F.trim(_c(col))
-    return F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in DATE_FORMATS])
+    """Year, month and day parted by slashes or hyphens; one- and two-digit months and days are the same.
+
+    The shape is checked and the text cast, as formatter functions raise and catch an exception per text that does
+    not fit, which costs far more than all the rest.
+    """
+    text = F.trim(_c(col))
+    return F.when(text.rlike(DATE_SHAPE), F.translate(text, "/", "-").try_cast("date"))
 
 
 def cast_declared(col: Column | str, db_type: str) -> Column:
@@ -93,15 +108,16 @@ def cast_declared(col: Column | str, db_type: str) -> Column:
 
 def clean_value(col: Column | str, steps: Iterable[str]) -> Column:
     """Apply the cleaning steps configured for a column, in order; the result is text."""
-    col = _c(col)
+    col, steps = _c(col), list(steps)
     for step in steps:
         if step == "null_tokens":
-            col = null_if_token(col)
+            # No token is a number, so where numbers are asked for the tokens need no look of their own.
+            col = strip(col) if "numeric" in steps else null_if_token(col)
         elif step == "thousands":
             col = strip_thousands(col)
         elif step == "numeric":
             # Keep the digits as written, drop what is no number.
-            col = F.when(coerce_numeric(col).isNotNull(), F.trim(col))
+            col = F.when(col.rlike(NUMBER_SHAPE), F.trim(col))
         else:
             raise ValueError(f"unknown cleaning step {step!r}")
     return col
@@ -109,7 +125,7 @@ def clean_value(col: Column | str, steps: Iterable[str]) -> Column:
 
 def normalize_header(col: Column | str) -> Column:
     """Header name without surrounding white space, in lower case."""
-    return F.lower(F.regexp_replace(_c(col), _EDGE_SPACE, ""))
+    return F.lower(strip(col))
 
 
 def strip_bom(col: Column | str) -> Column:

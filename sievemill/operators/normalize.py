@@ -57,9 +57,10 @@ def header_positions(header: str, spec: SchemaSpec, columns: Iterable[str] | Non
         return f"filter(array({', '.join(positions)}), p -> p >= 0)" if positions else "cast(array() AS array<int>)"
 
     every = f"array({', '.join(found(c) for c in columns or spec.column_names)})"
+    # A transform over an array of one binds the positions to a name, so they are worked out once.
     return F.expr(
-        f"struct(transform({every}, p -> get(p, 0)) AS first, "
-        f"CASE WHEN exists({every}, p -> size(p) > 1) THEN {every} END AS several)"
+        f"get(transform(array({every}), every -> struct(transform(every, p -> get(p, 0)) AS first, "
+        f"CASE WHEN exists(every, p -> size(p) > 1) THEN every END AS several)), 0)"
     )
 
 

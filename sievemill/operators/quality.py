@@ -73,12 +73,17 @@ def rule_reasons(
     return reasons
 
 
+def none_if_empty(text: Column) -> Column:
+    # The array names the text for the lambda, so it is worked out once; nullif and a CASE would repeat it.
+    return F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0))
+
+
 def reason_column(schema: T.StructType, rules: Mapping[str, Mapping]) -> Column:
     """All failures of a row joined with ``"; "``, NULL for a valid row."""
     reasons = rule_reasons(schema, rules)
     if not reasons:
         return F.lit(None).cast("string")
-    return F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+    return none_if_empty(F.concat_ws("; ", *reasons))
 
 
 def with_reasons(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:

@@ -10,6 +10,7 @@ from sievemill.operators import ledger, load, outcomes, quality
 from sievemill.plans.catalog_quality import DAILY_REASON, DAILY_ROWS, daily_rows, table
 from sievemill.plans.ingest import check_rows, member_facts
 from sievemill.registry import build_registry
+from sievemill.session import fill_cores
 
 # --- loads: the history up to 1998 is in the table, the whole of it is delivered again --------------------------------
 
@@ -110,7 +111,7 @@ def weekly_rows(spark, sf):
 def quarantine_union(spark, sf):
     registry = build_registry()
     layout = registry.schemas[registry.quarantine].struct
-    _, daily = quality.split_rows(daily_rows(spark, sf), registry.rules["default_daily"], "daily.csv")
+    _, daily = quality.split_rows(daily_rows(table(spark, sf, "lineitem")), registry.rules["default_daily"], "daily.csv")
     _, weekly = quality.split_rows(weekly_rows(spark, sf), registry.rules["weekly_report"], "weekly.csv")
     in_layout = lambda df: quality.in_quarantine_layout(df, layout)
     return in_layout(daily).unionByName(in_layout(weekly))
@@ -238,7 +239,7 @@ def order_rows(spark, sf) -> DataFrame:
     }
     registry = build_registry()
     absent = [c for c in registry.text_columns if c not in columns]
-    return table(spark, sf, "orders").select(
+    return fill_cores(table(spark, sf, "orders"), "o_orderkey").select(
         "o_orderkey",
         *[v.alias(n) for n, v in columns.items()],
         *[F.lit(None).cast("string").alias(c) for c in absent],

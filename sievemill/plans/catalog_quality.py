@@ -17,6 +17,7 @@ from sievemill.functions.values import NUMBER_SHAPE
 from sievemill.operators import quality
 from sievemill.operators.amounts import amount_features, preview
 from sievemill.registry import build_registry
+from sievemill.session import fill_cores
 
 REASON = quality.REASON
 
@@ -137,11 +138,11 @@ def missing_column_rule(spark, sf):
     return reasons_only(table(spark, sf, "supplier"), rules, "s_suppkey")
 
 
-def daily_rows(spark, sf):
+def daily_rows(lines: DataFrame) -> DataFrame:
     """Line items as daily market rows in text form: open unreturned ones lack a date, returned ones a positive volume."""
     quantity = F.col("l_quantity").cast("int")
     undated = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
-    return table(spark, sf, "lineitem").select(
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
         F.when(~undated, F.date_format("l_shipdate", "yyyy/M/d")).alias("trading_date"),
@@ -165,8 +166,9 @@ DAILY_REASON = """nullif(concat_ws('; ',
 
 
 def ruleset_daily(spark, sf):
+    lines = fill_cores(table(spark, sf, "lineitem"), "l_orderkey")
     return reasons_only(
-        daily_rows(spark, sf), build_registry().rules["default_daily"], "l_orderkey", "l_linenumber", "product_id", "close"
+        daily_rows(lines), build_registry().rules["default_daily"], "l_orderkey", "l_linenumber", "product_id", "close"
     )
 
 

@@ -13,6 +13,7 @@ from sievemill.functions import base_name, cast_declared, content_hash, csv_fiel
 from sievemill.operators import normalize
 from sievemill.plans.catalog_quality import table
 from sievemill.registry import ColumnSpec, Registry, SchemaSpec, build_registry
+from sievemill.session import fill_cores
 from sievemill.sources.files import hash_files, list_files, only_targets
 from sievemill.sources.members import read_members
 
@@ -22,9 +23,13 @@ BOM = "﻿"
 # --- documents as files ---------------------------------------------------------------------------------------------
 
 
+def documents(spark, sf) -> DataFrame:
+    return fill_cores(table(spark, sf, "documents"), "doc_id")
+
+
 def document_files(spark, sf, text) -> DataFrame:
     """Every document as the content of one file named by its id."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("path"), F.encode(text, "UTF-8").alias("content")
     )
 
@@ -106,7 +111,7 @@ def decode_charset(spark, sf):
         return texts.map(encode)
 
     wide = F.translate("text", "aeiou", "ａｅｉｏｕ")
-    files = table(spark, sf, "documents").select(
+    files = documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("path"), legacy_bytes(F.concat(F.lit("text\n"), csv_line(wide))).alias("content")
     )
     rows = records_of(read_members(files))
@@ -130,7 +135,7 @@ def zip_expand(spark, sf):
 
         return pd.Series([pack(t, d) for t, d in zip(texts, damaged)])
 
-    files = table(spark, sf, "documents").select(
+    files = documents(spark, sf).select(
         F.col("doc_id").cast("string").alias("path"),
         archive(F.concat(F.lit("text\n"), csv_line("text")), F.col("lang") == "de").alias("content"),
     )
@@ -220,12 +225,12 @@ def match_fallback(spark, sf):
 
 def header_names(spark, sf):
     """Every comma-separated piece of every document as a header name."""
-    docs = table(spark, sf, "documents").select("doc_id", normalize.normalized_header(F.split("text", ",")).alias("names"))
+    docs = documents(spark, sf).select("doc_id", normalize.normalized_header(F.split("text", ",")).alias("names"))
     return docs.select("doc_id", F.posexplode("names").alias("position", "name"))
 
 
 HEADER_NAMES = """SELECT doc_id, CAST(unnest(range(len(names))) AS INTEGER) AS position,
-      lower(regexp_replace(unnest(names), '^[\\s\\pZ\\x0B\\x1C-\\x1F]+|[\\s\\pZ\\x0B\\x1C-\\x1F]+$', '', 'g')) AS name
+      lower(regexp_replace(unnest(names), '^[\\s\\pZ\\x0B\\x1C-\\x1F\\x85]+|[\\s\\pZ\\x0B\\x1C-\\x1F\\x85]+$', '', 'g')) AS name
     FROM (SELECT doc_id, string_split(text, ',') AS names FROM documents)"""
 
 
@@ -233,18 +238,26 @@ def daily_spec() -> SchemaSpec:
     return build_registry().schemas["default_daily"]
 
 
-def aliased_rows(spark, sf) -> DataFrame:
-    """Line items as header and fields; the header's language and spelling depend on the return flag."""
-    flag = F.col("l_returnflag")
+def rename_aliases(spark, sf):
+    """Line items as files, one per return flag, whose headers differ in language and spelling.
+
+    As in a run, the positions of the columns are worked out once per file and not per row.
+    """
+    spec, flag = daily_spec(), F.col("l_returnflag")
     header = lambda *names: F.array(*[F.lit(n) for n in names])
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
+    files = table(spark, sf, "lineitem").select("l_returnflag").distinct().select(
+        "l_returnflag",
         normalize.normalized_header(
             F.when(flag == "A", header("交易日期", "契約代號", " 收盤價", "成交量", "備註"))
             .when(flag == "N", header("日期", "契約", " CLOSE ", "成交口數", "x"))
             .otherwise(header("trading_date", "Product_ID", "close", "　volume", "delta2"))
         ).alias("names"),
+    )
+    placed = files.select("l_returnflag", normalize.header_positions("names", spec).alias("positions"))
+    rows = fill_cores(table(spark, sf, "lineitem"), "l_orderkey").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
         F.array(
             F.date_format("l_shipdate", "yyyy/MM/dd"),
             F.col("l_partkey").cast("string"),
@@ -253,14 +266,7 @@ def aliased_rows(spark, sf) -> DataFrame:
             F.col("l_linestatus"),
         ).alias("_fields"),
     )
-
-
-def rename_aliases(spark, sf):
-    spec = daily_spec()
-    placed = aliased_rows(spark, sf).select(
-        "l_orderkey", "l_linenumber", "_fields", normalize.header_positions("names", spec).alias("positions")
-    )
-    named = normalize.canonical_columns(placed, "_fields", "positions", spec)
+    named = normalize.canonical_columns(rows.join(placed, "l_returnflag"), "_fields", "positions", spec)
     return named.select("l_orderkey", "l_linenumber", "trading_date", "product_id", "close", "volume")
 
 

@@ -124,7 +124,7 @@ def check_rows(parsed: DataFrame, registry: Registry, check_types: bool = True)
         reasons = quality.rule_reasons(parsed.schema, mine, numbers)
         if check_types:
             reasons += normalize.cast_failures(spec, rules, numbers)
-        return F.nullif(F.concat_ws("; ", *reasons), F.lit("")) if reasons else F.lit(None).cast("string")
+        return quality.none_if_empty(F.concat_ws("; ", *reasons)) if reasons else F.lit(None).cast("string")
 
     reasons = _per_schema(registry, "schema_name", reason).cast("string")
     return counted.withColumn(quality.REASON, reasons).select(*parsed.columns, quality.REASON)

@@ -42,3 +42,12 @@ def write_and_reread(df: DataFrame, folder: str, partition_by: list[str] | None
     writer.parquet(path)
     # The schema is given, not inferred, so that an empty result keeps its columns.
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer partitions than the session has cores, for work that costs more than a shuffle.
+
+    A scan of many files or row groups has partitions enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

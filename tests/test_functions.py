@@ -12,7 +12,7 @@ def values(spark, texts, make):
 
 
 def test_numbers(spark):
-    texts = [" 15 ", "1e3", "+5", "5.", ".5", "-0.5", "1_000", "0x10", "1.5d", "1,500", "nan", "inf", "1e999", "", None, "1 5", "٣"]
+    texts = [" 15 ", "1e3", "+5", "5.", ".5", "-0.5", "1_000", "0x10", "1.5d", "1,500", "nan", "inf", "Infinity", "", None, "1 5", "٣"]
     assert values(spark, texts, fn.coerce_numeric) == [15.0, 1000.0, 5.0, 5.0, 0.5, -0.5] + [None] * 11
 
 
