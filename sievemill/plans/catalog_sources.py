@@ -17,7 +17,7 @@ from sievemill.session import fill_cores
 from sievemill.sources.files import hash_files, list_files, only_targets
 from sievemill.sources.members import read_members
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 # --- documents as files ---------------------------------------------------------------------------------------------

@@ -26,6 +26,7 @@ from sievemill.operators import load, normalize, outcomes, quality
 from sievemill.operators.tables import LEDGER_TABLE, Warehouse
 from sievemill.registry import Registry, SchemaSpec, build_registry
 from sievemill.session import shared_folder, write_and_reread
+from sievemill.sources import csv_scan
 from sievemill.sources.files import hash_files, list_files, only_targets, with_empty_files
 from sievemill.sources.members import read_members
 
@@ -66,19 +67,48 @@ def recognise(chunks: DataFrame, registry: Registry) -> DataFrame:
     )
 
 
-def parse_rows(recognised: DataFrame, registry: Registry) -> DataFrame:
-    """One row per record with the text columns of all schemas, and one without for files that have no record.
-
-    Records longer than the header are kept as a mark only; shorter ones are filled up with NULL.
-    """
+def fields_of_records(recognised: DataFrame) -> DataFrame:
+    """One row per record with its fields, and one without for files that have no record."""
     exploded = recognised.select(
         *FILE_FACTS, "positions", "width", "first_row", F.posexplode_outer("records").alias("_at", "record")
     )
-    fielded = exploded.withColumns(
-        {"row_no": F.col("first_row") + F.col("_at"), "_fields": csv_fields("record")}
-    ).withColumn("too_long", F.coalesce(F.size("_fields") > F.col("width"), F.lit(False)))
-    fielded = fielded.withColumn("_fields", F.when(~F.col("too_long"), F.col("_fields")))
+    fielded = exploded.select(
+        *FILE_FACTS,
+        "positions",
+        "width",
+        (F.col("first_row") + F.col("_at")).alias("row_no"),
+        csv_fields("record").alias("_fields"),
+    )
+    return fielded.withColumn("too_long", F.coalesce(F.size("_fields") > F.col("width"), F.lit(False)))
+
+
+def fields_of_large_files(spark: SparkSession, plain: list[csv_scan.PlainFile], registry: Registry) -> DataFrame:
+    """The same for plain files that are read in splits; their facts are few and joined on."""
+    about = [(f.file_name, f.content_hash, f.length, f.head, f.header) for f in plain]
+    facts = spark.createDataFrame(about, "file_name string, content_hash string, n_bytes long, head string, header string")
+    facts = recognise(
+        facts.withColumns(
+            {
+                "is_archive": F.lit(False),
+                "member_no": F.lit(0),
+                "display_name": F.col("file_name"),
+                "encoding": F.lit("utf-8"),
+            }
+        ),
+        registry,
+    ).drop("head", "header", "names")
+    rows = csv_scan.scan_plain(spark, plain)
+    # A file without any row still has its facts.
+    joined = facts.join(rows, "file_name", "left").withColumn("too_long", F.coalesce("too_long", F.lit(False)))
+    return joined.select(*FILE_FACTS, "positions", "width", "row_no", "_fields", "too_long")
+
+
+def parse_rows(fielded: DataFrame, registry: Registry) -> DataFrame:
+    """Rows with the text columns of all schemas.
 
+    Records longer than the header are kept as a mark only; shorter ones are filled up with NULL.
+    """
+    fielded = fielded.withColumn("_fields", F.when(~F.col("too_long"), F.col("_fields")))
     # Picking and cleaning are two projections: the value of a field is then worked out once, not at every use.
     picked = fielded.select(
         *FILE_FACTS,
@@ -146,7 +176,9 @@ def member_facts(checked: DataFrame, registry: Registry) -> DataFrame:
         *outcomes.filled_counts(required, is_row),
     )
     facts = (
-        checked.filter(F.coalesce(F.col("row_no"), F.lit(0)) == 0)
+        checked.filter(
+            (F.coalesce(F.col("row_no"), F.lit(0)) == 0) | F.col("error").isNotNull() | F.col("decode_error").isNotNull()
+        )
         .groupBy(*MEMBER)
         .agg(*[F.max(c).alias(c) for c in FILE_FACTS if c not in MEMBER])
     )
@@ -185,11 +217,13 @@ def ingest_files(
     conflict: str = IGNORE,
     run_id: str | None = None,
     check_types: bool = True,
+    split_above: int = 256 << 20,
     time_zone: str = "Asia/Taipei",
 ) -> IngestRun:
     """Ingest ``files`` (``path, file_name, length, content``) into the tables of ``warehouse``.
 
-    To resume a run that broke off, call it again with the same ``run_id``.
+    Plain files larger than ``split_above`` bytes are read in splits. To resume a run that broke off, call it again
+    with the same ``run_id``.
     """
     if conflict not in (IGNORE, REPLACE):
         raise ValueError(f"unknown conflict strategy {conflict!r}")
@@ -199,15 +233,35 @@ def ingest_files(
     scratch = f"{shared_folder(spark, warehouse.root + '/_scratch')}/{run_id}"
 
     # Hashes first, without the contents, so that the join with the ledger moves narrow rows only.
-    hashed = led.mark_known(hash_files(files), warehouse.read(LEDGER_TABLE), mode)
-    hashed = write_and_reread(hashed, scratch)
-    fresh = _contents(files, hashed)
+    beyond = F.col("length") > csv_scan.CONTENT_LIMIT
+    hashes = hash_files(files.filter(~beyond))
+    huge = files.filter(beyond).select("path", "file_name", "length").collect()
+    if huge:
+        hashes = hashes.unionByName(csv_scan.file_fingerprints(spark, huge))
+    hashed = write_and_reread(led.mark_known(hashes, warehouse.read(LEDGER_TABLE), mode), scratch)
+
+    # Large plain files are read in splits. The others are unpacked and decoded task by task.
+    large = hashed.filter(~F.col("known") & (F.col("length") > split_above)).collect()
+    plain = csv_scan.find_plain(spark, large)
+    by_split = {f.path for f in plain}
+    fresh = _contents(files.filter(~beyond), hashed)
+    if by_split:
+        apart = spark.createDataFrame([(p,) for p in by_split], "path string")
+        fresh = fresh.join(apart, "path", "left_anti")
     # Parsing goes on elsewhere than unpacking: one large archive is spread over the cluster chunk by chunk.
     chunks = read_members(fresh).repartition("path", "member_no", "chunk_no")
+    too_large = [f for f in large if f.length > csv_scan.CONTENT_LIMIT and f.path not in by_split]
+    if too_large:
+        marks = spark.createDataFrame([(f.path, f.content_hash, f.length) for f in too_large], "path string, content_hash string, n_bytes long")
+        marks = marks.withColumns({"is_archive": F.lit(False), "member_no": F.lit(0), "error": F.lit(csv_scan.TOO_LARGE)})
+        chunks = chunks.unionByName(marks, allowMissingColumns=True)
     spread = chunks.withColumn("file_name", base_name("path")).withColumn(
         "display_name", F.concat_ws("/", "file_name", "member")
     )
-    checked = check_rows(parse_rows(recognise(spread, registry), registry), registry, check_types)
+    fielded = fields_of_records(recognise(spread, registry))
+    if plain:
+        fielded = fielded.unionByName(fields_of_large_files(spark, plain, registry))
+    checked = check_rows(parse_rows(fielded, registry), registry, check_types)
     staged = write_and_reread(
         checked.withColumn("_schema", F.coalesce("schema_name", F.lit(NO_SCHEMA))), scratch, ["_schema"]
     )

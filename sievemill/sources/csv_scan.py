@@ -1,0 +1,108 @@
+"""Large plain CSV files, read in splits by Spark's own CSV reader.
+
+A file that is unpacked or decoded by hand occupies one task from end to end. Plain UTF-8 files beyond a size need
+neither, so many tasks share each of them. Splits start at line ends: a line break inside quotes cannot be told from
+the end of a record, and a file that seems to hold one is refused with that reason rather than read wrongly.
+"""
+
+from __future__ import annotations
+
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from itertools import groupby
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sievemill.functions import csv_width
+from sievemill.sources.members import HEAD_BYTES, still_quoted
+
+# Largest content that one value of a table can hold.
+CONTENT_LIMIT = (1 << 31) - 1024
+QUOTED_BREAK = "a quoted line break seems to occur, so the file cannot be read in splits; raise split_above for it"
+TOO_LARGE = "larger than 2 GB and not plain UTF-8 CSV"
+
+
+@dataclass(frozen=True)
+class PlainFile:
+    path: str
+    file_name: str
+    content_hash: str
+    length: int
+    head: str
+    header: str
+
+
+def _scanned_name() -> F.Column:
+    # File metadata has names as in a URL; a plus is no space there, as url_decode would have it.
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
+def probe(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """(head, header line) of a plain UTF-8 file, None for anything else. Reads the start of the file only."""
+    lines = [r.value for r in spark.read.text(path).head(64)]
+    header = next((line for line in lines if line.strip(" \t\ufeff")), None)
+    head = "\n".join(lines).encode()[:HEAD_BYTES].decode("utf-8", "ignore").removeprefix("\ufeff")
+    if header is None or "\ufffd" in head or "\0" in head or still_quoted(header, False):
+        return None
+    return head, header.removeprefix("\ufeff")
+
+
+def find_plain(spark: SparkSession, large: list) -> list[PlainFile]:
+    """Those of the ``large`` files (``path, file_name, content_hash, length``) that can be read in splits."""
+    if not large:
+        return []
+    with ThreadPoolExecutor(16) as pool:
+        probed = list(pool.map(lambda f: probe(spark, f.path), large))
+    return [PlainFile(f.path, f.file_name, f.content_hash, f.length, *p) for f, p in zip(large, probed) if p]
+
+
+def file_fingerprints(spark: SparkSession, large: list) -> DataFrame:
+    """Identity of files too large for a content hash: length, line count and two sums over hashes of their lines."""
+    facts = spark.createDataFrame([(f.path, f.file_name, f.length) for f in large], "path string, file_name string, length long")
+    line_hash = F.xxhash64("value")
+    sums = (
+        spark.read.text([f.path for f in large])
+        .select(_scanned_name().alias("file_name"), line_hash.alias("h"))
+        .groupBy("file_name")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("h").alias("x"))
+    )
+    parts = [F.col(c).cast("string") for c in ("length", "n", "s", "x")]
+    return facts.join(sums, "file_name").select("path", "file_name", "length", F.sha2(F.concat_ws("|", *parts), 256).alias("content_hash"))
+
+
+def scan_plain(spark: SparkSession, files: list[PlainFile]) -> DataFrame:
+    """Rows of ``files``: ``file_name, row_no, _fields, too_long, decode_error, error``.
+
+    Files with the same header line are one scan. Row numbers rise with the position in the file.
+    """
+    result = None
+    ordered = sorted(files, key=lambda f: f.header)
+    for header, group in groupby(ordered, key=lambda f: f.header):
+        width = len(next(csv.reader([header])))
+        names = [f"_c{i}" for i in range(width)]
+        layout = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]])
+        scan = (
+            spark.read.schema(layout)
+            .options(header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
+            .csv([f.path for f in group])
+        )
+        # The counter restarts with every partition, and a split of full size fills a partition of its own.
+        in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        fields = F.array(*names)
+        rows = scan.select(
+            _scanned_name().alias("file_name"),
+            (F.col("_metadata.file_block_start") + in_split).alias("row_no"),
+            fields.alias("_fields"),
+            # Short records are marked as corrupt as well, but stay.
+            F.coalesce(csv_width("_corrupt") > width, F.lit(False)).alias("too_long"),
+            F.when(F.exists(fields, lambda f: F.contains(f, F.lit("\ufffd"))), F.lit("not UTF-8 throughout")).alias("decode_error"),
+            F.when(
+                F.exists(fields, lambda f: F.startswith(f, F.lit('"'))) | ((F.length(F.regexp_replace("_corrupt", '[^"]', "")) % 2) == 1),
+                F.lit(QUOTED_BREAK),
+            ).alias("error"),
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result

@@ -122,7 +122,7 @@ def test_replace_and_null_keys(spark, put):
 
 def test_archives(spark, put):
     put("two.zip", zipped(a__dot__csv=GOOD, b__dot__CSV=WEEKLY.encode("big5"), note__dot__txt="x"))
-    put("mixed.zip", zipped(good__dot__csv="﻿" + MIXED, empty__dot__csv="", latin__dot__csv="csv\né\n".encode("latin-1")))
+    put("mixed.zip", zipped(good__dot__csv="\ufeff" + MIXED, empty__dot__csv="", latin__dot__csv="csv\né\n".encode("latin-1")))
     put("none.zip", zipped(note__dot__txt="x", __MACOSX__dot__csv="x"))
     damaged = bytearray(zipped(a__dot__csv=GOOD * 20))
     damaged[60:70] = b"\0" * 10

@@ -72,7 +72,7 @@ def test_late_decode_error_is_found_before_rows_are_handed_on():
 
 
 def test_bom_and_empty_inputs():
-    (row,) = rows("﻿a,b\n1,2\n".encode())
+    (row,) = rows("\ufeffa,b\n1,2\n".encode())
     assert row["header"] == "a,b" and row["records"] == ["1,2"] and row["head"].startswith("a,b")
     (row,) = rows(b"")
     assert row["n_bytes"] == 0
