@@ -48,6 +48,7 @@ class Warehouse:
             raise ValueError(f"table {table!r} is not in the schema configuration, allowed: {sorted(self.schemas)}")
 
     def _layout(self, table: str) -> T.StructType:
+        self._check(table)
         return T.StructType([*self.schemas[table].fields, T.StructField(self._partition(table), T.StringType())])
 
     def _partition(self, table: str) -> str:

@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import os
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.functions import base_name, content_hash
 
 
+_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
+def _index(spark: SparkSession, folder: str) -> DataFrame:
+    # Recursive lookup keeps Spark from taking subfolders for partitions; the files in them are left out below.
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+
+
+def _is_in(url: Column, folder: str) -> Column:
+    """Whether the file at ``url`` lies directly in ``folder``; scheme and host may be missing from either."""
+    place = re.sub(_SCHEME, "", folder).rstrip("/")
+    if not place.startswith("/"):
+        place = os.path.abspath(place)
+    decoded = F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, f"{_SCHEME}|/[^/]*$", "") == place
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files directly in ``folder``. Contents are only read by queries that use ``content``."""
-    parent = F.regexp_replace("path", "/[^/]*$", "")
+    """Files directly in ``folder``. Contents are only read by queries that use ``content``.
+
+    The condition on the metadata prunes the files of subfolders when they are listed, before anything is read.
+    """
     return (
-        spark.read.format("binaryFile")
-        .load(folder)
-        .filter(F.endswith(parent, F.lit(folder.rstrip("/"))))
+        _index(spark, folder)
+        .filter(_is_in(F.col("_metadata.file_path"), folder))
         .select("path", base_name("path").alias("file_name"), "modificationTime", "length", "content")
     )
 
@@ -24,14 +43,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def with_empty_files(files: DataFrame, folder: str) -> DataFrame:
     """Adds the files of zero bytes, which Spark's scans leave out but its file index knows."""
     spark = files.sparkSession
-    index = spark.createDataFrame(
-        [(unquote(p),) for p in spark.read.format("binaryFile").load(folder).inputFiles()], "path string"
-    )
-    index = index.withColumn("file_name", base_name("path"))
-    parent = F.regexp_replace("path", "/[^/]*$", "")
-    empty = index.filter(F.endswith(parent, F.lit(folder.rstrip("/")))).join(
-        files.select("file_name"), "file_name", "left_anti"
+    urls = spark.createDataFrame([(p,) for p in _index(spark, folder).inputFiles()], "url string")
+    names = urls.filter(_is_in(F.col("url"), folder)).select(
+        F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path")
     )
+    empty = names.withColumn("file_name", base_name("path")).join(files.select("file_name"), "file_name", "left_anti")
     return files.unionByName(
         empty.select("path", "file_name", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content")),
         allowMissingColumns=True,

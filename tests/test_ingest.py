@@ -33,7 +33,10 @@ def zipped(**members):
 
 
 @pytest.fixture
-def put(tmp_path):
+def put(spark, tmp_path):
+    # On a handful of rows compiling the plans takes longer than running them; the query tests run compiled.
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     folder = tmp_path / "in"
     folder.mkdir()
 
@@ -42,7 +45,9 @@ def put(tmp_path):
 
     write.folder = str(folder)
     write.root = str(tmp_path / "warehouse")
-    return write
+    yield write
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
 
 
 def by_name(df, key="file_name"):
