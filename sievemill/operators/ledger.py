@@ -44,7 +44,7 @@ def latest_entries(ledger: DataFrame, *order: str) -> DataFrame:
 
 def known_hashes(ledger: DataFrame) -> DataFrame:
     """Contents that were ingested successfully; errors and skips do not keep a file from another try."""
-    return ledger.filter(F.col("status") == SUCCESS).select(F.col("ledger_key").alias("content_hash"))
+    return ledger.filter(F.col("status") == SUCCESS).select(F.col("ledger_key").alias("content_hash")).distinct()
 
 
 def files_to_ingest(files: DataFrame, ledger: DataFrame, mode: str = NORMAL) -> DataFrame:
@@ -62,5 +62,5 @@ def mark_known(files: DataFrame, ledger: DataFrame, mode: str = NORMAL) -> DataF
         return files.withColumn("known", F.lit(False))
     if mode != NORMAL:
         raise ValueError(f"unknown run mode {mode!r}")
-    known = known_hashes(ledger).distinct().withColumn("known", F.lit(True))
+    known = known_hashes(ledger).withColumn("known", F.lit(True))
     return files.join(known, "content_hash", "left").select(*files.columns, F.coalesce("known", F.lit(False)).alias("known"))

@@ -57,14 +57,17 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def existing_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of ``batch`` that ``target`` holds, one row each as the key columns of the load.
+    """Keys of ``batch`` that ``target`` holds, as the key columns of the load.
 
     With a small batch Spark broadcasts its keys and the table is only scanned, never shuffled.
     """
-    names = _key_names(keys)
-    mine = _keyed(target.select(*keys), keys, target.schema).select(*names)
-    theirs = _keyed(batch.select(*keys), keys, target.schema).select(*names)
-    return mine.join(theirs, names, "left_semi")
+    mine = _keyed(target.select(*keys), keys, target.schema).select(*_key_names(keys))
+    return mine.join(_distinct_keys(batch, keys, target.schema), _key_names(keys), "left_semi")
+
+
+def _distinct_keys(df: DataFrame, keys: Sequence[str], types: T.StructType) -> DataFrame:
+    # Repeats of a key are merged before the shuffle, so a key of many rows weighs no more than any other.
+    return _keyed(df.select(*keys), keys, types).select(*_key_names(keys)).distinct()
 
 
 def rows_to_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -83,8 +86,7 @@ def insert_or_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     """The table after the load. The batch wins, its last row of a key first of all."""
     names = _key_names(keys)
     mine = _keyed(target, keys, target.schema)
-    theirs = _keyed(batch.select(*keys), keys, target.schema).select(*names)
-    kept = mine.join(theirs, names, "left_anti").select(*target.columns)
+    kept = mine.join(_distinct_keys(batch, keys, target.schema), names, "left_anti").select(*target.columns)
     return append(kept, last_per_key(batch, keys, order))
 
 

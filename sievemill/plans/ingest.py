@@ -1,6 +1,7 @@
 """The whole run: files in, fact tables, quarantine table, ledger and report out.
 
-    files -> hash -> ledger anti-join -> unzip, decode, cut into records     (task-side, one pass)
+    files -> hash -> ledger -> unzip, decode, cut into records               (task-side, one pass)
+                       |-> large plain files in splits
           -> schema by keyword, header to positions                          (once per chunk)
           -> fields, canonical columns, rules                                (once per row, one projection)
           -> staged table -> verdict per file -> facts and quarantine -> outcomes -> ledger, report
@@ -218,11 +219,13 @@ def ingest_files(
     run_id: str | None = None,
     check_types: bool = True,
     split_above: int = 256 << 20,
+    spread_above: int = 16 << 20,
     time_zone: str = "Asia/Taipei",
 ) -> IngestRun:
     """Ingest ``files`` (``path, file_name, length, content``) into the tables of ``warehouse``.
 
-    Plain files larger than ``split_above`` bytes are read in splits. To resume a run that broke off, call it again
+    Plain files larger than ``split_above`` bytes are read in splits; the contents of other files larger than
+    ``spread_above`` are shuffled to more tasks once they are unpacked. To resume a run that broke off, call it again
     with the same ``run_id``.
     """
     if conflict not in (IGNORE, REPLACE):
@@ -248,8 +251,10 @@ def ingest_files(
     if by_split:
         apart = spark.createDataFrame([(p,) for p in by_split], "path string")
         fresh = fresh.join(apart, "path", "left_anti")
-    # Parsing goes on elsewhere than unpacking: one large archive is spread over the cluster chunk by chunk.
-    chunks = read_members(fresh).repartition("path", "member_no", "chunk_no")
+    # What a large archive holds is spread over the cluster chunk by chunk; all else is parsed where it is unpacked.
+    is_large = F.col("length") > spread_above
+    large_chunks = read_members(fresh.filter(is_large)).repartition("path", "member_no", "chunk_no")
+    chunks = read_members(fresh.filter(~is_large)).unionByName(large_chunks)
     too_large = [f for f in large if f.length > csv_scan.CONTENT_LIMIT and f.path not in by_split]
     if too_large:
         marks = spark.createDataFrame([(f.path, f.content_hash, f.length) for f in too_large], "path string, content_hash string, n_bytes long")
@@ -328,9 +333,15 @@ def ingest_files(
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, warehouse_root: str, registry: Registry | None = None, *, targets: str = "", **options
+    spark: SparkSession, folder: str, warehouse_root: str, registry: Registry | None = None, *, targets: str = "",
+    find_empty: bool = True, **options
 ) -> IngestRun:
-    """Ingest the files of one folder, or those of them named in ``targets``."""
+    """Ingest the files of one folder, or those of them named in ``targets``.
+
+    Reporting files of zero bytes takes the names of all files to the driver; leave it out for millions of files.
+    """
     warehouse = Warehouse(spark, warehouse_root, registry or build_registry())
-    files = with_empty_files(list_files(spark, folder), folder)
+    files = list_files(spark, folder)
+    if find_empty:
+        files = with_empty_files(files, folder)
     return ingest_files(spark, only_targets(files, targets), warehouse, **options)
