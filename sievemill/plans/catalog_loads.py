@@ -307,8 +307,12 @@ def checked_orders(spark, sf):
     return check_rows(rows, build_registry())
 
 
+def members_of(checked: DataFrame) -> DataFrame:
+    return outcomes.member_outcomes(member_facts(checked, build_registry()))
+
+
 def members(spark, sf):
-    return outcomes.member_outcomes(member_facts(checked_orders(spark, sf), build_registry()))
+    return members_of(checked_orders(spark, sf))
 
 
 def files(spark, sf):
@@ -344,11 +348,12 @@ LOAD_KEY = ["trading_date", "product_id"]
 def loaded_files(spark, sf):
     """File outcomes with the rows that an insert by date and product adds, the earliest order first."""
     checked = checked_orders(spark, sf)
-    good = members(spark, sf).filter(F.col("status") == ledger.SUCCESS).select("file_name", "member_no")
+    outcome = members_of(checked)
+    good = outcome.filter(F.col("status") == ledger.SUCCESS).select("file_name", "member_no")
     valid = checked.filter(F.col(quality.REASON).isNull() & ~F.col("too_long")).join(good, ["file_name", "member_no"], "left_semi")
     new = load.first_per_key(valid.select("o_orderkey", "file_name", *LOAD_KEY), LOAD_KEY, ["o_orderkey"])
     counts = new.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_inserted"))
-    joined = files(spark, sf).join(counts, "file_name", "left").fillna(0, ["rows_inserted"])
+    joined = outcomes.roll_up(outcome).join(counts, "file_name", "left").fillna(0, ["rows_inserted"])
     return joined.withColumn("rows_skipped", F.col("rows_valid") - F.col("rows_inserted"))
 
 
