@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievemill.llm import exact_dedup, line_dedup
+from sievemill.llm import exact_dedup, line_dedup, substring_dedup
 from sievemill.llm.common import table
 
 
@@ -43,7 +43,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
+
+def passages(spark, sf):
+    """Every document without the passages that also stand elsewhere."""
+    docs = substring_dedup.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "_kept.n_words", "_kept.n_removed", F.sha2("_kept.text", 256).alias("kept_sha256"))
+
+
+PASSAGES_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
+k AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 34], ' ')) AS h FROM p),
+r AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY h) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS at FROM r),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS at FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n_kept
+  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {
+    "op4_substring_dedup": (passages, PASSAGES_SQL),
     "op5_exact_dedup": (exact, EXACT_SQL),
     "op10_line_dedup": (lines, LINES_SQL),
 }
