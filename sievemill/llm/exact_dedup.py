@@ -19,7 +19,11 @@ from sievemill.llm.common import ascii_lower, scratch_path, written
 
 SLICE_ROWS = 500
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Settings of the state while a stream starts. Without fallocate a store takes the disk of its entries, not some MB ahead of them.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Order among rows of one digest: null ids first, so they stay only if there is no other; then the later locator.
 RANK = "struct(doc_id, file, row_no)"
 
@@ -46,8 +50,9 @@ def seen(spark: SparkSession, entry_folder: str, schema, state: str) -> DataFram
     """(digest, n, stay) of every digest in the stream's state after all entries of the folder are read."""
     stream = spark.readStream.schema(schema).parquet(entry_folder)
     keyed = stream.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr(RANK)).alias("stay"))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         query = (
             keyed.writeStream.outputMode("update")
@@ -58,7 +63,8 @@ def seen(spark: SparkSession, entry_folder: str, schema, state: str) -> DataFram
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     updates = spark.read.schema(keyed.schema).parquet(*[f"{state}/updates"])
     # A later batch's update of a digest counts all rows of the earlier ones, so the largest count is the latest.
     latest = updates.groupBy("digest").agg(F.max(F.struct("n", "stay")).alias("last"))
