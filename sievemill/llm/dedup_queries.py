@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievemill.llm import exact_dedup, line_dedup, substring_dedup
+from sievemill.llm import exact_dedup, line_dedup, simhash, substring_dedup
 from sievemill.llm.common import table
 
 
@@ -65,8 +65,17 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BI
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+
+def near(spark, sf):
+    """Every document with its fingerprint and the component it belongs to."""
+    return simhash.near_duplicates(table(spark, sf, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op4_substring_dedup": (passages, PASSAGES_SQL),
     "op5_exact_dedup": (exact, EXACT_SQL),
+    "op6_simhash_near_dedup": (near, None),  # SQL has neither the hash nor components; tests compare with brute force
     "op10_line_dedup": (lines, LINES_SQL),
 }
