@@ -5,10 +5,46 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sievemill.llm import bpe, mixing
+from sievemill.llm import bpe, mixing, quality_rules
 from sievemill.llm.common import table
 
 
+def rules(spark, sf):
+    """Every document judged by base rules and by the lines it shares with others of its source."""
+    return quality_rules.judged(table(spark, sf, "documents"))
+
+
+# Base counts and line frequencies as the operator has them; the pattern of words is the contract's.
+RULES_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) > 3),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) > 1),
+rep AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM twice) GROUP BY doc_id),
+raw AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+full_lines AS (SELECT * FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
+norm AS (
+  SELECT doc_id, source, text, trim(regexp_replace(regexp_replace(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+  FROM full_lines
+),
+often AS (SELECT source, line FROM norm GROUP BY source, line HAVING count(DISTINCT text) > 30),
+lost AS (
+  SELECT n.doc_id, sum(len(string_split(n.line, ' ')))::BIGINT AS n FROM norm n JOIN often o
+  ON n.line = o.line AND n.source IS NOT DISTINCT FROM o.source GROUP BY n.doc_id
+),
+c AS (
+  SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum([length(x) for x in ws]), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_lost_words
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)
+),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_words - n_lost_words < 0.3 * n_words AS depleted FROM c)
+SELECT *, NOT base_failed AND NOT depleted AS kept FROM v
+"""
+
+
 def mix(spark, sf):
     """Every document with what the mix takes of it."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
@@ -32,6 +68,7 @@ def encode(spark, sf):
 
 
 QUERIES = {
+    "op2_quality_rules": (rules, RULES_SQL),
     "op8_bpe": (encode, None),  # tests compare with the tokenizers library
     "op9_mix_sources": (mix, None),  # a flow is not to be had in SQL; tests compare with brute force
 }

@@ -55,11 +55,11 @@ WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
 k AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 34], ' ')) AS h FROM p),
 r AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY h) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS at FROM r),
-word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS at FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS pos FROM r),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
 kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n_kept
-  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n_kept
+  FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
 )
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)

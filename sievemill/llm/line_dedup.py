@@ -52,7 +52,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     loss are left out. An empty table, texts without lines that are long enough, and rows all alike give no row.
     """
     rows = written(line_rows(keyed(docs, id_col, text_col), min_chars))
-    words = repetitions(rows).groupBy("doc_id", "tid", F.floor(F.col("line_no") / BITS).cast("int").alias("word")).agg(
+    return bitmaps(repetitions(rows))
+
+
+def bitmaps(lost: DataFrame) -> DataFrame:
+    """(doc_id, tid, n_dropped, keep) from the lines that go, (doc_id, tid, line_no); a line named twice goes once."""
+    words = lost.groupBy("doc_id", "tid", F.floor(F.col("line_no") / BITS).cast("int").alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, line_no % {BITS})")).alias("bits")
     )
     return words.groupBy("doc_id", "tid").agg(
