@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sievemill.llm import bpe, mixing, quality_rules
+from sievemill.llm import bpe, mixing, quality_classifier, quality_rules, toxicity, training
 from sievemill.llm.common import table
 
 
+def scored(docs, score, least):
+    rows = docs.select("doc_id", training.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= least).cast("int"))
+
+
+def toxic(spark, sf):
+    """Every document with its toxicity."""
+    docs = table(spark, sf, "documents")
+    return scored(docs, toxicity.score(F.col("text"), toxicity.fit(docs, table(spark, sf, "labels"))), 0.5)
+
+
+def quality(spark, sf):
+    """Every document with its quality."""
+    docs = table(spark, sf, "documents")
+    return scored(docs, quality_classifier.score(F.col("text"), quality_classifier.fit(docs, table(spark, sf, "labels"))), 0.3)
+
+
 def rules(spark, sf):
     """Every document judged by base rules and by the lines it shares with others of its source."""
     return quality_rules.judged(table(spark, sf, "documents"))
@@ -68,6 +85,9 @@ def encode(spark, sf):
 
 
 QUERIES = {
+    # Trained models are not to be had in SQL; tests hold them against labels kept out of training.
+    "op1_toxicity": (toxic, None),
+    "op7_quality_classifier": (quality, None),
     "op2_quality_rules": (rules, RULES_SQL),
     "op8_bpe": (encode, None),  # tests compare with the tokenizers library
     "op9_mix_sources": (mix, None),  # a flow is not to be had in SQL; tests compare with brute force
