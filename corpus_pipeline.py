@@ -2,24 +2,60 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievemill.llm import line_dedup
+from sievemill.llm import bpe, line_dedup, mixing, simhash, toxicity
 from sievemill.llm.common import table, written
 
+#: The vocabulary file of the last stage; every executor has it at this path.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+TOXIC = 0.5
 
-def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that several documents share stay in the first of them."""
-    return line_dedup.drop_repeated_lines(docs).drop("_lines")
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose calibrated toxicity is below TOXIC."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.withColumn("_toxicity", toxicity.score(F.col("text"), model)).where(F.col("_toxicity") < TOXIC).drop("_toxicity")
 
-STAGES = [("line dedup", shared_lines)]
 
-#: Trained models decide in the pipeline, which SQL cannot express; tests/llm compare it with a brute-force version.
+def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that several documents share stay in the first of them; n_chars follows."""
+    kept = line_dedup.drop_repeated_lines(docs).drop("_lines")
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.one_of_each_group(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them, none to three times."""
+    return mixing.repeated(mixing.mix(docs, F.array("source"))[0])
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they are decoded to."""
+    both = docs.select("doc_id", "lang", "source", bpe.round_trip(F.col("text"), VOCABULARY).alias("_both"))
+    return both.select("doc_id", "lang", "source", F.size("_both.ids").cast("long").alias("n_tokens"), "_both.ids", "_both.decoded")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_shared_lines),
+    ("SimHash near-dedup", without_near_duplicates),
+    ("mixing sources to target weights", mixed),
+    ("BPE encoding and decoding", encoded),
+]
+
+#: A trained model and a tokenizer decide here, which SQL cannot express; tests/llm hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is written and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

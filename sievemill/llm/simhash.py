@@ -277,3 +277,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("part").agg(F.min("least_id").alias("component_id"))
     components = named.join(least, "part").select("print", "component_id")
     return prints.join(components, "print")
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row left of each component, that of the smallest id; all columns stay. Rows all alike are one row."""
+    found = near_duplicates(docs, id_col, text_col, shingle)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id", "print").alias("_stay")).distinct()
+    # The fingerprint tells apart rows that share an id but not their text.
+    own = docs.withColumn("_own", F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
+    same = (F.col("_own.print") == F.col("_stay.print")) & F.col("_own.doc_id").eqNullSafe(F.col("_stay.doc_id"))
+    return own.join(stay, same, "left_semi").dropDuplicates(["_own"]).drop("_own")
