@@ -9,7 +9,7 @@ own home in the two blocks, where a + b <= 3 bits are those that differ. Therefo
 all 64 bits are compared. About 300 anchors qualify; of them only those count that some fingerprint has as its home, which a bitmap of
 all 2**24 anchors (2 MB, whatever the input) tells.
 
-At an anchor the homes are compared with each replica that streams by, and a spanning forest of the links leaves the task, never all
+At an anchor the homes are compared with each replica that streams by, many anchors at once, and a spanning forest of the links leaves the task, never all
 pairs. Components come from rounds of contraction: every fingerprint joins its smallest neighbour, and links between what has joined go to
 the next round.
 """
@@ -131,7 +131,11 @@ def reached(prints: np.ndarray) -> Iterator[np.ndarray]:
         yield np.concatenate(at)
 
 
-REPLICAS = pa.schema([("anchor", pa.int32()), ("home", pa.bool_()), ("print", pa.int64())])
+HOMES, REPLICAS = 0, 1
+PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("anchors", pa.binary()), ("prints", pa.binary())])
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Pairs that are compared at once.
+AT_ONCE = 1 << 20
 
 
 def home_bitmap(prints: DataFrame) -> np.ndarray:
@@ -150,86 +154,99 @@ def home_bitmap(prints: DataFrame) -> np.ndarray:
     return out
 
 
-def replicas(bitmap: np.ndarray):
+def packed(at: np.ndarray, prints: np.ndarray, kind: int, buckets: int) -> Iterator[tuple]:
+    """One row for each bucket of anchors, its entries in the order of anchors."""
+    bucket = at % buckets
+    order = np.lexsort((at, bucket))
+    at, prints, bucket = at[order], prints[order], bucket[order]
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+        yield int(bucket[a]), kind, at[a:b].astype(np.int32).tobytes(), prints[a:b].tobytes()
+
+
+def replicas(bitmap: np.ndarray, buckets: int):
+    """Each fingerprint at its home and at every other anchor within reach that is some fingerprint's home: 300 entries at most, on average.
+    Entries of a bucket of anchors travel together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):  # so that what is replicated at once is bounded
-                prints = batch.column(0)[a : a + 2048].to_numpy(zero_copy_only=False)
-                home = homes(prints.view(np.uint64))
-                some = []
-                for own, at in zip(home, reached(prints.view(np.uint64))):
+            for a in range(0, batch.num_rows, 4096):  # so that what is replicated at once is bounded
+                prints = batch.column(0)[a : a + 4096].to_numpy(zero_copy_only=False).view(np.uint64)
+                home, some = homes(prints), []
+                for own, at in zip(home, reached(prints)):
                     at = at[(bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
                     some.append(at[at != own])
-                sizes = np.array([len(x) for x in some])
-                columns = [
-                    np.concatenate([home, *some]).astype(np.int32), np.r_[np.ones(len(home), bool), np.zeros(sizes.sum(), bool)],
-                    np.r_[prints, np.repeat(prints, sizes)],
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=REPLICAS)
+                rows = [*packed(home, prints, HOMES, buckets)]
+                rows += packed(np.concatenate(some), np.repeat(prints, [len(x) for x in some]), REPLICAS, buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
 
     return run
 
 
-LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-class Anchor:
-    """The homes of one anchor, and which of them links have already connected."""
-
-    def __init__(self, number: int):
-        self.number, self.prints, self.above = number, np.empty(0, np.uint64), []
-
-    def root(self, i: int) -> int:
-        while self.above[i] != i:
-            self.above[i] = self.above[self.above[i]]
-            i = self.above[i]
-        return i
-
-    def join(self, found: np.ndarray) -> Iterator[tuple[int, int]]:
-        for i in found[1:]:
-            r, s = self.root(found[0]), self.root(i)
-            if r != s:
-                self.above[s] = r
-                yield int(self.prints[found[0]]), int(self.prints[i])
-
-    def add_homes(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
-        n = len(self.prints)
-        self.prints, self.above = np.r_[self.prints, prints], self.above + list(range(n, n + len(prints)))
-        if len(self.prints) > 1:
-            for k, p in enumerate(prints):
-                near = np.flatnonzero(np.bitwise_count(self.prints[: n + k] ^ p) <= THRESHOLD)
-                if len(near):
-                    yield from self.join(np.r_[n + k, near])
-
-    def replica(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
-        if not len(self.prints):
-            return
-        step = max(1, 1_000_000 // len(self.prints))
-        for at in range(0, len(prints), step):
-            some = prints[at : at + step]
-            which, home = np.nonzero(np.bitwise_count(some[:, None] ^ self.prints[None, :]) <= THRESHOLD)
+class Bucket:
+    """The homes of a bucket's anchors, and which of them links have already connected."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        at, prints = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(at, kind="stable")
+        self.at, self.prints, self.part = at[order], prints[order], np.arange(len(at))
+
+    def join(self, print_: int, some: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Of the links from a fingerprint to these homes, the first and those that connect homes not connected yet."""
+        for i in some:
+            r, s = self.part[some[0]], self.part[i]
+            if i == some[0] or r != s:
+                self.part[self.part == s] = r
+                yield print_, int(self.prints[i])
+
+    def links(self, at: np.ndarray, prints: np.ndarray) -> Iterator[tuple[int, int]]:
+        """One link from each fingerprint to the homes at its anchor, and those by which it connects several of them."""
+        low, high = np.searchsorted(self.at, at, "left"), np.searchsorted(self.at, at, "right")
+        upto = np.cumsum(high - low)
+        begin = 0
+        while begin < len(at):
+            done = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, done + AT_ONCE, "right")))
+            sizes = (high - low)[begin:end]
+            which = np.repeat(np.arange(begin, end), sizes)
+            home = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low[begin:end], sizes)
+            apart = np.bitwise_count(prints[which] ^ self.prints[home])
+            near = (apart <= THRESHOLD) & (apart > 0)
+            which, home = which[near], home[near]
+            # Of the homes that a fingerprint finds, one of each part is enough.
+            _, first = np.unique(which * len(self.at) + self.part[home], return_index=True)
+            which, home = which[np.sort(first)], home[np.sort(first)]
             cuts = np.flatnonzero(np.r_[True, which[1:] != which[:-1]][: len(which)])
             for a, b in zip(cuts, [*cuts[1:], len(which)]):
-                yield int(some[which[a]]), int(self.prints[home[a]])
-                yield from self.join(home[a:b])
+                yield from self.join(int(prints[which[a]]), home[a:b])
+            begin = end
 
 
 def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the links at each anchor. Rows come by anchor, homes first; only the homes of one anchor are held."""
-    now = Anchor(-1)
-    for batch in batches:
-        at, home, prints = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-        prints = prints.view(np.uint64)
-        cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
-        out: list[tuple[int, int]] = []
-        for a, b in zip(cuts, [*cuts[1:], len(at)]):
-            if at[a] != now.number:
-                if b - a == 1 and b < len(at):
-                    continue  # an anchor with one row
-                now = Anchor(at[a])
-            n = int(home[a:b].sum())
-            out += now.add_homes(prints[a : a + n])
-            out += now.replica(prints[a + n : b])
+    """A spanning forest of the links in each bucket. Rows come by bucket, homes first; only the homes of one bucket are held."""
+
+    def found() -> Iterator[list[tuple[int, int]]]:
+        number, parts, bucket = -1, [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != number:
+                    if parts and bucket is None:
+                        bucket = Bucket(parts)
+                        yield [*bucket.links(bucket.at, bucket.prints)]
+                    number, parts, bucket = row["bucket"], [], None
+                at, prints = np.frombuffer(row["anchors"], np.int32), np.frombuffer(row["prints"], np.uint64)
+                if row["kind"] == HOMES:
+                    parts.append((at, prints))
+                    continue
+                if bucket is None:
+                    bucket = Bucket(parts)
+                    yield [*bucket.links(bucket.at, bucket.prints)]
+                yield [*bucket.links(at, prints)]
+        if parts and bucket is None:
+            bucket = Bucket(parts)
+            yield [*bucket.links(bucket.at, bucket.prints)]
+
+    for out in found():
         if out:
             pairs = np.array(out, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], schema=LINKS)
@@ -268,9 +285,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     only = distinct.select("print")
-    replicated = only.mapInArrow(replicas(home_bitmap(only)), "anchor int, home boolean, print long")
-    by_anchor = replicated.repartition(partitions, "anchor").sortWithinPartitions("anchor", F.desc("home"))
-    pairs = written(by_anchor.mapInArrow(links, "a long, b long").distinct())
+    replicated = only.mapInArrow(replicas(home_bitmap(only), 8 * partitions), "bucket int, kind tinyint, anchors binary, prints binary")
+    by_bucket = replicated.repartition(partitions, "bucket").sortWithinPartitions("bucket", "kind")
+    pairs = written(by_bucket.mapInArrow(links, "a long, b long").distinct())
     parts = contracted(pairs)
     named = distinct.join(parts, distinct["print"] == parts["node"], "left").select("print", "least_id", F.coalesce("part", "print").alias("part"))
     named = written(named)
