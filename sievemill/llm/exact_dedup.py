@@ -65,10 +65,11 @@ def seen(spark: SparkSession, entry_folder: str, schema, state: str) -> DataFram
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    updates = spark.read.schema(keyed.schema).parquet(*[f"{state}/updates"])
+    updates = spark.read.schema(keyed.schema).parquet(f"{state}/updates")
     # A later batch's update of a digest counts all rows of the earlier ones, so the largest count is the latest.
     latest = updates.groupBy("digest").agg(F.max(F.struct("n", "stay")).alias("last"))
-    return latest.select("digest", "last.n", "last.stay")
+    # Written, so that a join with it has nothing but exchanges below and Spark can split the rows of a common digest.
+    return written(latest.select("digest", "last.n", "last.stay"))
 
 
 def exact_groups(
@@ -78,11 +79,17 @@ def exact_groups(
 
     Texts are equal when identical after A-Z are lower-cased; a null text is empty. The row of the largest id stays; of rows with one
     id the one with the greatest locator does, a null id only if there is no other. An empty table gives no rows. ``state`` is the
-    folder of the stream's state; by default a new one in the shared folder.
+    folder of the stream's state, by default a new one in the shared folder: called again with it on the table with more files, only those
+    are read into the stream.
     """
     spark = docs.sparkSession
-    state = state or scratch_path(spark)
     found = entries(docs, id_col, text_col, digest)
+    if state:
+        found.limit(0).write.mode("append").parquet(f"{state}/entries")  # the folder is there, if only now
+        files = spark.read.schema(found.schema).parquet(f"{state}/entries").select("file").distinct()
+        found = found.join(files, "file", "left_anti").select(*found.columns)
+    else:
+        state = scratch_path(spark)
     found.write.mode("append").parquet(f"{state}/entries")
     rows = spark.read.schema(found.schema).parquet(f"{state}/entries")
     groups = seen(spark, f"{state}/entries", found.schema, state)
