@@ -105,12 +105,12 @@ def load_statistics(batch: DataFrame, inserted: DataFrame, *by: str) -> DataFram
     return counted.withColumn("rows_skipped", F.col("rows_in_source") - F.col("rows_inserted"))
 
 
-def allowed_tables(spark, registry: Registry) -> DataFrame:
-    """The tables named in the configuration, a list as short as that file."""
-    return spark.createDataFrame([(t,) for t in registry.table_names], "table_name string")
+def is_allowed(registry: Registry, table_column: str) -> Column:
+    """Whether a row's table is named in the configuration."""
+    return F.coalesce(F.col(table_column).isin(*registry.table_names), F.lit(False))
 
 
-def split_by_allowed(routed: DataFrame, allowed: DataFrame, table_column: str) -> tuple[DataFrame, DataFrame]:
+def split_by_allowed(routed: DataFrame, registry: Registry, table_column: str) -> tuple[DataFrame, DataFrame]:
     """(rows for a configured table, refused rows)."""
-    names = allowed.select(F.col(allowed.columns[0]).alias(table_column))
-    return routed.join(names, table_column, "left_semi"), routed.join(names, table_column, "left_anti")
+    allowed = is_allowed(registry, table_column)
+    return routed.filter(allowed), routed.filter(~allowed)

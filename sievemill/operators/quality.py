@@ -48,6 +48,7 @@ def rule_reasons(
             log.warning("rule on column %r ignored: the data has no such column", name)
             continue
         dtype = schema[name].dataType
+        # The texts of the reasons.
         prefix = f"Column '{name}': "
         is_null = _is_null(name, dtype)
 

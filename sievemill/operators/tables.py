@@ -93,10 +93,11 @@ class Warehouse:
         )
 
     def load_slice(self, table: str, batch: DataFrame) -> DataFrame:
-        """The part of a keyed table whose periods overlap the batch, as a partition filter."""
-        low, high = batch.agg(F.min(PERIOD), F.max(PERIOD)).first()
+        """The part of a keyed table whose periods the batch brings, as a partition filter."""
+        # A month is one value, so there are few; a stray date adds its own month and not all between.
+        periods = sorted(r[0] for r in batch.select(PERIOD).distinct().collect())
         stored = self._stored(table)
-        return stored.filter(F.col(PERIOD).between(low, high)) if low is not None else stored.limit(0)
+        return stored.filter(F.col(PERIOD).isNotNull() & F.col(PERIOD).isin(*periods)) if periods else stored.limit(0)
 
     def with_period(self, batch: DataFrame, table: str) -> DataFrame:
         return batch.withColumn(PERIOD, self._period(table))

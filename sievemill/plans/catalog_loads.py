@@ -89,8 +89,7 @@ def allowed_tables(spark, sf):
         .otherwise(F.concat(F.lit("scratch_"), status))
         .alias("table_name"),
     )
-    taken, refused = load.split_by_allowed(routed, load.allowed_tables(spark, build_registry()), "table_name")
-    return taken.withColumn("accepted", F.lit(True)).unionByName(refused.withColumn("accepted", F.lit(False)))
+    return routed.withColumn("accepted", load.is_allowed(build_registry(), "table_name"))
 
 
 ALLOWED_TABLES = """SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'fact_daily_ohlc' WHEN 'F' THEN 'fact_weekly_report'

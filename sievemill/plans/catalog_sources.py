@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from sievemill.functions import base_name, cast_declared, content_hash, csv_fields, csv_line
 from sievemill.operators import normalize
+from sievemill.operators.tables import Warehouse
 from sievemill.plans.catalog_quality import table
 from sievemill.registry import ColumnSpec, Registry, SchemaSpec, build_registry
-from sievemill.session import fill_cores
+from sievemill.session import fill_cores, shared_folder
 from sievemill.sources.files import hash_files, list_files, only_targets
 from sievemill.sources.members import read_members
 
@@ -313,15 +315,23 @@ def has_target_columns(spark, sf):
     return table(spark, sf, "part").select("p_partkey", normalize.has_any_column(header, sizes).alias("has_target"))
 
 
+CREATED = {"trading_date": "o_orderdate", "product_id": "o_orderkey", "option_type": "o_orderstatus", "close": "o_totalprice"}
+
+
 def created_from_schema(spark, sf):
-    """The structure of a fact table: declared columns and types, no rows."""
+    """A fact table made from its declaration, with orders written to it, as it is read back."""
+    folder = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    house = Warehouse(spark, f"{folder}/{uuid.uuid4().hex}", build_registry())
     spec = daily_spec()
-    rows = normalize.reindex(normalize.rename_by_alias(table(spark, sf, "orders"), spec), spec.column_names)
-    return rows.select(*[cast_declared(c.name, c.db_type).alias(c.name) for c in spec.columns]).limit(0)
+    house.create(spec.table)
+    types = {f.name: f.dataType for f in spec.struct.fields}
+    rows = table(spark, sf, "orders").select(*[F.col(source).cast(types[name]).alias(name) for name, source in CREATED.items()])
+    house.append(spec.table, rows, "orders")
+    return house.read(spec.table)
 
 
-CREATED_FROM_SCHEMA = "SELECT {} FROM orders LIMIT 0".format(
-    ", ".join(f"CAST(NULL AS {c.db_type}) AS {c.name}" for c in daily_spec().columns)
+CREATED_FROM_SCHEMA = "SELECT {} FROM orders".format(
+    ", ".join(f"CAST({CREATED.get(c.name, 'NULL')} AS {c.db_type}) AS {c.name}" for c in daily_spec().columns)
 )
 
 

@@ -98,10 +98,17 @@ def fields_of_large_files(spark: SparkSession, plain: list[csv_scan.PlainFile],
         ),
         registry,
     ).drop("head", "header", "names")
-    rows = csv_scan.scan_plain(spark, plain)
-    # A file without any row still has its facts.
-    joined = facts.join(rows, "file_name", "left").withColumn("too_long", F.coalesce("too_long", F.lit(False)))
-    return joined.select(*FILE_FACTS, "positions", "width", "row_no", "_fields", "too_long")
+    columns = [*FILE_FACTS, "positions", "width", "row_no", "_fields", "too_long"]
+    marks = ["error", "decode_error"]
+    rows = csv_scan.scan_plain(spark, plain).join(facts.drop(*marks), "file_name")
+    # Every file has a row of its facts alone, so its outcome hangs neither on having rows nor on how they are numbered.
+    alone = facts.withColumns(
+        {
+            "row_no": F.lit(None).cast("bigint"), "_fields": F.lit(None).cast("array<string>"), "too_long": F.lit(False),
+            **{c: F.lit(None).cast("string") for c in marks},
+        }
+    )
+    return rows.select(*columns).unionByName(alone.select(*columns))
 
 
 def parse_rows(fielded: DataFrame, registry: Registry) -> DataFrame:
@@ -199,6 +206,18 @@ def _contents(files: DataFrame, hashed: DataFrame) -> DataFrame:
     return files.join(hashed.filter("NOT known").select("path"), "path", "left_semi")
 
 
+def mark_copies(hashed: DataFrame) -> DataFrame:
+    """Adds ``same_as``: the first file of the run with the same content, for all others of it; a content is loaded once.
+
+    Empty files are no copies of each other. What is marked stays out like what was ingested before."""
+    open_ = hashed.filter(~F.col("known") & (F.col("length") > 0))
+    first = open_.groupBy("content_hash").agg(F.min("file_name").alias("first_name"), F.count(F.lit(1)).alias("n"))
+    first = first.filter("n > 1").drop("n")
+    copy = ~F.col("known") & (F.col("length") > 0) & (F.col("file_name") != F.col("first_name"))
+    marked = hashed.join(first, "content_hash", "left").withColumn("same_as", F.when(copy, F.col("first_name")))
+    return marked.withColumn("known", F.col("known") | F.col("same_as").isNotNull()).drop("first_name")
+
+
 @dataclass
 class IngestRun:
     """Tables describing a finished run."""
@@ -218,15 +237,14 @@ def ingest_files(
     conflict: str = IGNORE,
     run_id: str | None = None,
     check_types: bool = True,
-    split_above: int = 256 << 20,
     spread_above: int = 16 << 20,
     time_zone: str = "Asia/Taipei",
 ) -> IngestRun:
     """Ingest ``files`` (``path, file_name, length, content``) into the tables of ``warehouse``.
 
-    Plain files larger than ``split_above`` bytes are read in splits; the contents of other files larger than
-    ``spread_above`` are shuffled to more tasks once they are unpacked. To resume a run that broke off, call it again
-    with the same ``run_id``.
+    Every file whose content fits one value (2 GB) is read whole in one task, as a stream, whatever its size; the records of those larger
+    than ``spread_above`` are shuffled to more tasks once they are cut. Only beyond that are plain files read in splits. Of files
+    with the same content the first by name is loaded. To resume a run that broke off, call it again with the same ``run_id``.
     """
     if conflict not in (IGNORE, REPLACE):
         raise ValueError(f"unknown conflict strategy {conflict!r}")
@@ -241,21 +259,18 @@ def ingest_files(
     huge = files.filter(beyond).select("path", "file_name", "length").collect()
     if huge:
         hashes = hashes.unionByName(csv_scan.file_fingerprints(spark, huge))
-    hashed = write_and_reread(led.mark_known(hashes, warehouse.read(LEDGER_TABLE), mode), scratch)
+    hashed = write_and_reread(mark_copies(led.mark_known(hashes, warehouse.read(LEDGER_TABLE), mode)), scratch)
 
-    # Large plain files are read in splits. The others are unpacked and decoded task by task.
-    large = hashed.filter(~F.col("known") & (F.col("length") > split_above)).collect()
+    # Plain files whose content does not fit a value are read in splits. All others are unpacked and decoded task by task.
+    large = hashed.filter(~F.col("known") & beyond).collect() if huge else []
     plain = csv_scan.find_plain(spark, large)
     by_split = {f.path for f in plain}
-    fresh = _contents(files.filter(~beyond), hashed)
-    if by_split:
-        apart = spark.createDataFrame([(p,) for p in by_split], "path string")
-        fresh = fresh.join(apart, "path", "left_anti")
+    fresh = _contents(files.filter(~beyond), hashed.filter(~beyond))
     # What a large archive holds is spread over the cluster chunk by chunk; all else is parsed where it is unpacked.
     is_large = F.col("length") > spread_above
     large_chunks = read_members(fresh.filter(is_large)).repartition("path", "member_no", "chunk_no")
     chunks = read_members(fresh.filter(~is_large)).unionByName(large_chunks)
-    too_large = [f for f in large if f.length > csv_scan.CONTENT_LIMIT and f.path not in by_split]
+    too_large = [f for f in large if f.path not in by_split]
     if too_large:
         marks = spark.createDataFrame([(f.path, f.content_hash, f.length) for f in too_large], "path string, content_hash string, n_bytes long")
         marks = marks.withColumns({"is_archive": F.lit(False), "member_no": F.lit(0), "error": F.lit(csv_scan.TOO_LARGE)})
@@ -310,9 +325,8 @@ def ingest_files(
     else:
         totals = per_file.groupBy("file_name").agg(F.sum("rows_inserted").alias("rows_inserted"))
         files_out = files_out.join(totals, "file_name", "left").fillna(0, ["rows_inserted"])
-    already = hashed.filter("known").select("file_name", "content_hash").withColumns(
-        {"status": F.lit(led.SKIPPED), "message": F.lit("already ingested")}
-    )
+    message = F.coalesce(F.concat(F.lit("same content as "), "same_as"), F.lit("already ingested"))
+    already = hashed.filter("known").select("file_name", "content_hash", F.lit(led.SKIPPED).alias("status"), message.alias("message"))
     files_out = files_out.unionByName(already, allowMissingColumns=True).fillna(
         0, ["members", "members_loaded", "rows_source", "rows_valid", "rows_quarantined", "rows_inserted"]
     )

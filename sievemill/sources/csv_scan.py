@@ -21,7 +21,7 @@ from sievemill.sources.members import HEAD_BYTES, still_quoted
 
 # Largest content that one value of a table can hold.
 CONTENT_LIMIT = (1 << 31) - 1024
-QUOTED_BREAK = "a quoted line break seems to occur, so the file cannot be read in splits; raise split_above for it"
+QUOTED_BREAK = "a quoted line break seems to occur, so the file cannot be read in splits"
 TOO_LARGE = "larger than 2 GB and not plain UTF-8 CSV"
 
 

@@ -8,7 +8,7 @@ from sievemill.sources import csv_scan
 FACTS = ["rows_source", "rows_too_long", "rows_valid", "rows_quarantined", "schema_name", "status", "reason"]
 
 
-def test_splits_equal_whole(spark, put, tmp_path):  # noqa: F811
+def test_splits_equal_whole(spark, put, tmp_path, monkeypatch):  # noqa: F811
     lines = []
     for i in range(3000):
         line = f"2023/{i % 12 + 1}/{i % 28 + 1},P{i},202303,{i}.0,FUT,1,2,3,{i}.5,\"{i:,}\""
@@ -23,16 +23,16 @@ def test_splits_equal_whole(spark, put, tmp_path):  # noqa: F811
     put("日報 +1%25.csv", text)
     put("two.csv", text.replace(",P", ",Q").replace(",S", ",T"))
     put("broken.csv", DAILY + "\n" + '2023/1/1,"X\nY",1,1,1,1,1,1,1,1\n')
-    put("big5.csv", (DAILY + "\n2023/1/1,中文,1,1,C,1,1,1,1,1\n").encode("big5"))
     registry = build_registry()
     whole = ingest_folder(spark, put.folder, str(tmp_path / "whole"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    monkeypatch.setattr(csv_scan, "CONTENT_LIMIT", 50)
     try:
-        split = ingest_folder(spark, put.folder, str(tmp_path / "split"), split_above=50)
+        split = ingest_folder(spark, put.folder, str(tmp_path / "split"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want, got = by_name(whole.members), by_name(split.members)
-    for name in ("日報 +1%25.csv", "two.csv", "big5.csv"):
+    for name in ("日報 +1%25.csv", "two.csv"):
         assert {k: got[name][k] for k in FACTS} == {k: want[name][k] for k in FACTS}, name
     assert want["two.csv"]["rows_too_long"] == len(range(0, 3000, 11)) and want["two.csv"]["rows_quarantined"] > 0
     assert want["broken.csv"]["status"] == "success"
@@ -46,9 +46,49 @@ def test_files_beyond_the_content_limit(spark, put, tmp_path, monkeypatch):  # n
     monkeypatch.setattr(csv_scan, "CONTENT_LIMIT", 100)
     put("plain.csv", DAILY + "\n2023/1/1,TXF,1,1,C,1,1,1,1,1\n")
     put("legacy.csv", (DAILY + "\n2023/1/1,中文,1,1,C,1,1,1,1,1\n").encode("big5"))
-    first = ingest_folder(spark, put.folder, put.root, split_above=50)
+    first = ingest_folder(spark, put.folder, put.root)
     files = by_name(first.files)
     assert files["plain.csv"]["status"] == "success" and files["plain.csv"]["rows_inserted"] == 1
     assert files["legacy.csv"]["message"] == csv_scan.TOO_LARGE
-    again = by_name(ingest_folder(spark, put.folder, put.root, split_above=50).files)
+    again = by_name(ingest_folder(spark, put.folder, put.root).files)
     assert again["plain.csv"]["message"] == "already ingested" and again["legacy.csv"]["status"] == "error"
+
+
+def test_no_file_is_lost_when_many_share_a_partition(spark, put, tmp_path, monkeypatch):  # noqa: F811
+    for i in range(12):
+        rows = "".join(f"2023/1/{d},F{i},1,1,C,1,1,1,1,{d}\n" for d in range(1, 6))
+        put(f"f{i:02d}.csv", f"{DAILY}\n{rows}")
+    put("header.csv", DAILY + "\n")
+    whole = ingest_folder(spark, put.folder, str(tmp_path / "whole"))
+    monkeypatch.setattr(csv_scan, "CONTENT_LIMIT", 50)
+    split = ingest_folder(spark, put.folder, str(tmp_path / "split"))
+    facts = lambda run: {n: {k: r[k] for k in FACTS} for n, r in by_name(run.members).items()}
+    assert len(facts(split)) == 13 and facts(split) == facts(whole)
+    assert len(by_name(split.files)) == 13 and split.report.first()["rows_added_to_main_tables"] == 60
+    for n in ("whole", "split"):
+        house = Warehouse(spark, str(tmp_path / n), build_registry())
+        assert house.read("ingest_ledger").count() == 13 and house.read("fact_daily_ohlc").count() == 60
+
+
+def test_size_alone_changes_nothing(spark, put, tmp_path):  # noqa: F811
+    """What is legal CSV loads whatever the size: quoted breaks, quotes at a value's start, legacy encodings far down."""
+    put("break.csv", DAILY + "\n" + '2023/1/1,"X\nY",1,1,C,1,1,1,1,1\n' * 1)
+    put("quote.csv", DAILY + "\n" + '2023/1/2,"""Acme"" Ltd",1,1,C,1,1,1,1,1\n')
+    lines = "".join(f"2023/1/{i % 28 + 1},A{i},1,1,C,1,1,1,1,1\n" for i in range(6000))
+    put("late.csv", (DAILY.replace("交易日期", "trading_date") + "\n").encode("big5") + lines.encode() + "2023/1/3,中文,1,1,C,1,1,1,1,1\n".encode("big5"))
+    run = ingest_folder(spark, put.folder, str(tmp_path / "out"), spread_above=100)
+    assert {r["status"] for r in by_name(run.files).values()} == {"success"}
+    names = {r.product_id for r in Warehouse(spark, str(tmp_path / "out"), build_registry()).read("fact_daily_ohlc").collect()}
+    assert {"X\nY", '"Acme" Ltd', "中文"} <= names
+
+
+def test_one_content_is_loaded_once_in_a_run(spark, put):  # noqa: F811
+    weekly = "日期,商品名稱,身份別,多方交易口數,多方交易金額,空方交易口數,空方交易金額\n2023/11/15,P,D,1,2,3,4\n"
+    put("a.csv", weekly)
+    put("b.csv", weekly)
+    put("e1.csv", b"")
+    put("e2.csv", b"")
+    files = by_name(ingest_folder(spark, put.folder, put.root).files)
+    assert files["a.csv"]["status"] == "success" and files["b.csv"]["message"] == "same content as a.csv"
+    assert files["e1.csv"]["message"] == files["e2.csv"]["message"] != "already ingested"
+    assert Warehouse(spark, put.root, build_registry()).read("fact_weekly_report").count() == 1

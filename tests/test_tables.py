@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from sievemill import Warehouse, build_registry, load_registry
 from sievemill.operators.amounts import amount_features, derive_table, preview
@@ -28,6 +29,10 @@ def test_load_reads_only_the_periods_it_brings(spark, tmp_path):
     scan = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_period" in scan and "2023-03" in scan and "2023-04" in scan
     assert house.rows_to_insert("fact_daily_ohlc", batch, ["row_no"]).count() == 0
+    # A stray date adds its own month to what is read, not all months between.
+    stray = batch.filter("row_no = 3").unionByName(batch.filter("row_no = 4").withColumn("trading_date", F.lit("1900-01-01").cast("date")))
+    part = house.load_slice("fact_daily_ohlc", house.with_period(stray, "fact_daily_ohlc"))
+    assert {r.trading_date.month for r in part.collect()} == {3}
     house.replace("fact_daily_ohlc", batch, ["row_no"])
     assert house.read("fact_daily_ohlc").count() == 12
     with pytest.raises(ValueError, match="no key"):
