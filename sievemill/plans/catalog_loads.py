@@ -10,7 +10,7 @@ from sievemill.operators import ledger, load, outcomes, quality
 from sievemill.plans.catalog_quality import DAILY_REASON, DAILY_ROWS, daily_rows, table
 from sievemill.plans.ingest import check_rows, member_facts
 from sievemill.registry import build_registry
-from sievemill.session import fill_cores
+from sievemill.session import fill_cores, shared_folder, write_and_reread
 
 # --- loads: the history up to 1998 is in the table, the whole of it is delivered again --------------------------------
 
@@ -23,6 +23,12 @@ COLUMNS = (
 )
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The rows as a written table, for queries that go over them several times, as a run does."""
+    spark = df.sparkSession
+    return write_and_reread(df, shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"))
+
+
 def delivery(spark, sf):
     return table(spark, sf, "lineitem")
 
@@ -54,7 +60,7 @@ def batch_dedupe(spark, sf):
 
 
 def idempotent_rerun(spark, sf):
-    once = load.insert_if_absent(loaded(spark, sf), delivery(spark, sf), KEYS, ORDER)
+    once = staged(load.insert_if_absent(staged(loaded(spark, sf)), delivery(spark, sf), KEYS, ORDER))
     return load.insert_if_absent(once, delivery(spark, sf), KEYS, ORDER)
 
 
@@ -302,8 +308,8 @@ FILES = f"""(SELECT file_name, is_archive, members, members_loaded, rows_source,
 
 
 def checked_orders(spark, sf):
-    rows = order_rows(spark, sf)
-    return check_rows(rows, build_registry())
+    """The rules are worked out once; outcomes then go over the written rows, as in a run."""
+    return staged(check_rows(order_rows(spark, sf), build_registry()))
 
 
 def members_of(checked: DataFrame) -> DataFrame:
@@ -347,7 +353,7 @@ LOAD_KEY = ["trading_date", "product_id"]
 def loaded_files(spark, sf):
     """File outcomes with the rows that an insert by date and product adds, the earliest order first."""
     checked = checked_orders(spark, sf)
-    outcome = members_of(checked)
+    outcome = staged(members_of(checked))
     good = outcome.filter(F.col("status") == ledger.SUCCESS).select("file_name", "member_no")
     valid = checked.filter(F.col(quality.REASON).isNull() & ~F.col("too_long")).join(good, ["file_name", "member_no"], "left_semi")
     new = load.first_per_key(valid.select("o_orderkey", "file_name", *LOAD_KEY), LOAD_KEY, ["o_orderkey"])
