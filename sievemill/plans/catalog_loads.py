@@ -233,7 +233,7 @@ def order_rows(spark, sf) -> DataFrame:
         "schema_name": F.when(is_member("4-NOT SPECIFIED", "F"), F.lit("weekly_report")).when(
             priority != "4-NOT SPECIFIED", F.lit("default_daily")
         ),
-        "has_columns": F.lit(True),
+        "has_columns": ~is_member("1-URGENT", "F"),
         "has_target": ~is_member("5-LOW", "F"),
         "row_no": F.lit(0).cast("bigint"),
         "too_long": price > 480000,
@@ -265,7 +265,7 @@ ORDER_ROWS = """(SELECT *, CASE WHEN schema_name = 'weekly_report'
       CASE WHEN p = '2-HIGH' AND s = 'P' THEN 'no supported encoding fits' END AS decode_error,
       CASE WHEN p = '4-NOT SPECIFIED' AND s = 'F' THEN 'weekly_report' WHEN p <> '4-NOT SPECIFIED' THEN 'default_daily' END
         AS schema_name,
-      NOT (p = '5-LOW' AND s = 'F') AS has_target, o_totalprice > 480000 AS too_long,
+      NOT (p = '5-LOW' AND s = 'F') AS has_target, NOT (p = '1-URGENT' AND s = 'F') AS has_columns, o_totalprice > 480000 AS too_long,
       strftime(o_orderdate, '%Y-%m-%d') AS trading_date,
       CASE WHEN NOT (p = '3-MEDIUM' AND s = 'P') THEN o_totalprice END AS close,
       CASE WHEN p = '2-HIGH' AND s = 'F' THEN -1 WHEN o_totalprice < 50000 THEN -5 ELSE 10 END AS volume
@@ -274,18 +274,19 @@ ORDER_ROWS = """(SELECT *, CASE WHEN schema_name = 'weekly_report'
 MEMBER_FACTS = f"""(SELECT *, CASE
         WHEN schema_name = 'weekly_report' THEN 'product_name, investor_type, long_pos_volume, short_pos_volume'
         WHEN schema_name = 'default_daily' AND filled_close = 0 THEN 'close' END AS missing_required
-    FROM (SELECT file_name, is_archive, member_no, display_name, n_bytes, error, decode_error, schema_name, has_target,
+    FROM (SELECT file_name, is_archive, member_no, display_name, n_bytes, error, decode_error, schema_name, has_columns, has_target,
         count(close) FILTER (NOT too_long) AS filled_close,
         count(*) FILTER (NOT too_long) AS rows_found, count(*) FILTER (NOT too_long AND reason IS NULL) AS valid,
         count(*) FILTER (NOT too_long AND reason IS NOT NULL) AS bad
       FROM {ORDER_ROWS}
-      GROUP BY file_name, is_archive, member_no, display_name, n_bytes, error, decode_error, schema_name, has_target))"""
+      GROUP BY file_name, is_archive, member_no, display_name, n_bytes, error, decode_error, schema_name, has_columns, has_target))"""
 
 PARSED_MEMBERS = f"""(SELECT *, CASE WHEN parse_reason IS NULL THEN 'success'
         WHEN parse_reason IN ('file is empty', 'no schema matches the content') THEN 'skipped' ELSE 'error' END AS parse_status
     FROM (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN n_bytes = 0 THEN 'file is empty'
         WHEN schema_name IS NULL THEN 'no schema matches the content' WHEN decode_error IS NOT NULL THEN decode_error
-        WHEN rows_found = 0 THEN 'no data rows' WHEN NOT has_target THEN 'no header name belongs to schema ' || schema_name
+        WHEN rows_found = 0 THEN 'no data rows' WHEN NOT has_columns THEN 'no columns declared for schema ' || schema_name
+        WHEN NOT has_target THEN 'no header name belongs to schema ' || schema_name
         WHEN missing_required IS NOT NULL THEN 'required columns are empty: ' || missing_required END AS parse_reason
       FROM {MEMBER_FACTS}))"""
 

@@ -3,6 +3,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sievemill import Warehouse, build_registry, load_registry
+from sievemill.operators import outcomes
 from sievemill.operators.amounts import amount_features, derive_table, preview
 from sievemill.sources.files import list_files, only_targets, parse_targets, with_empty_files
 
@@ -67,6 +68,21 @@ def test_amounts(spark, tmp_path):
     assert [r.id for r in preview(df, ["amount"], 2).collect()] == [4, 2]
     with pytest.raises(AnalysisException):
         derive_table(spark, "no_such_table")
+    names = ("valid_data_of_a_test", "transformed_data_of_a_test")
+    try:
+        for rows in (df, df.limit(2)):  # written anew each time
+            rows.write.mode("overwrite").saveAsTable(names[0])
+            derive_table(spark, *names)
+            assert spark.table(names[1]).exceptAll(amount_features(rows)).count() == 0
+        assert spark.table(names[1]).count() == 2
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_duration_is_rounded(spark):
+    report = outcomes.with_clock(spark.range(1).selectExpr("'SUCCESS' AS status"), "x", F.lit("a"), F.lit("b"), 1.23456)
+    assert report.first()["total_duration_seconds"] == 1.23
 
 
 def test_registry_from_files(tmp_path):
