@@ -10,6 +10,7 @@ What the file's normalizer and pre-tokenizer do is done here: NFC, white space t
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import cache
 
@@ -38,6 +39,10 @@ NEW_CAPITALS = {
     0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
     **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
+#: Letters, numbers and white space up to U+00FF.
+LATIN_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+LATIN_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_SPACE = "\t-\r \x85\xa0"
 
 
 def ranges(codes: list[str]) -> str:
@@ -64,6 +69,12 @@ class Vocabulary:
         # The library's \s is white space as Unicode has it.
         pattern = pattern.replace(r"\s", r"\p{White_Space}")
         self.word = regex.compile(pattern)
+        # The same for texts of Latin-1 alone, with the classes spelled out, for the faster module.
+        spelled = ((r"\p{White_Space}", LATIN_SPACE), (r"\p{L}", LATIN_LETTER), (r"\p{N}", LATIN_NUMBER))
+        latin = pattern
+        for name, chars in spelled:
+            latin = latin.replace(f"[{name}]+", f"[{chars}]+").replace(f"[{name}]", f"[{chars}]").replace(name, chars)
+        self.latin_word = re.compile(latin)
         new = ranges(NOT_YET_LETTERS.split())
         self.unusual = regex.compile(f"[{new}{''.join(map(chr, NEW_CAPITALS))}]")
         for kind in (r"\p{L}", r"\p{N}"):
@@ -78,32 +89,38 @@ class Vocabulary:
         order = np.argsort(key)
         self.key, self.rank = key[order], order
         self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
         return np.where(self.key[at] == key, self.rank[at], NO_RANK)
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word (not empty), all merged together round by round."""
+    def pair_ranks(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The rank of the pair that begins at each place; none where its word ends."""
+        out, after = np.full(len(at), NO_RANK), np.minimum(at + 1, len(symbols) - 1)
+        inside = (after > at) & (word[after] == word[at])
+        out[inside] = self.ranks(symbols[at[inside]], symbols[after[inside]])
+        return out
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word (not empty) as int32, all merged together round by round."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array([len(r) for r in raw], np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         symbols, word = self.inner[data], np.repeat(np.arange(len(raw)), sizes)
         ends = np.cumsum(sizes) - 1
         symbols[ends] = self.last[data[ends]]
-        out: list[list[int]] = [[] for _ in raw]
+        out = [b""] * len(raw)
+        rank = self.pair_ranks(symbols, word, np.arange(len(symbols)))
         while len(symbols):
-            rank = np.full(len(symbols), NO_RANK)
-            inside = np.flatnonzero(word[1:] == word[:-1])
-            rank[inside] = self.ranks(symbols[inside], symbols[inside + 1])
             begins = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             best = np.minimum.reduceat(rank, begins)
             lengths = np.diff(np.r_[begins, len(word)])
             done = best == NO_RANK
-            for a, n in zip(begins[done].tolist(), lengths[done].tolist()):
-                out[word[a]] = symbols[a : a + n].tolist()
+            flat = symbols.astype(np.int32).tobytes()
+            for w, a, n in zip(word[begins[done]].tolist(), begins[done].tolist(), lengths[done].tolist()):
+                out[w] = flat[4 * a : 4 * (a + n)]
             best = np.repeat(best, lengths)
             at = np.flatnonzero((rank == best) & (best != NO_RANK))
             # In a run such as a a a the pairs overlap: every other one from the left is merged.
@@ -113,7 +130,10 @@ class Vocabulary:
             symbols[at] = self.merged[rank[at]]
             stay = best != NO_RANK
             stay[at + 1] = False
-            symbols, word = symbols[stay], word[stay]
+            moved = (np.cumsum(stay) - 1)[at]
+            symbols, word, rank = symbols[stay], word[stay], rank[stay]
+            changed = np.r_[moved, np.maximum(moved - 1, 0)]
+            rank[changed] = self.pair_ranks(symbols, word, changed)
         return out
 
     def words(self, text: str) -> list[str]:
@@ -122,8 +142,8 @@ class Vocabulary:
         for part in self.special_pattern.split(text) if "<|" in text else (text,):
             if part in self.special:
                 out.append(part)
-            elif part.isascii():
-                out += self.word.findall(part.lower())
+            elif is_latin(part):
+                out += self.latin_word.findall(part.lower())
             else:
                 part = lower(unicodedata.normalize("NFC", part))
                 if self.unusual.search(part):
@@ -132,23 +152,35 @@ class Vocabulary:
                     out += self.word.findall(part)
         return out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.words(t or "") for t in texts]
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in self.known))
+        every = set().union(*split)
+        new = every - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(dict.fromkeys(w for ws in split for w in ws))
-        for at in range(0, len(new), AT_ONCE):
-            plain = [w for w in new[at : at + AT_ONCE] if w not in self.special]
-            self.known |= zip(plain, self.encode_words(plain))
-        self.known |= {t: [i] for t, i in self.special.items()}
-        return [[i for w in ws for i in self.known[w]] for ws in split]
+            self.known, new = {}, every
+        plain = sorted(new - self.special.keys())
+        for at in range(0, len(plain), AT_ONCE):
+            some = plain[at : at + AT_ONCE]
+            self.known |= zip(some, self.encode_words(some))
+        self.known |= {t: np.int32(i).tobytes() for t, i in self.special.items()}
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), np.int32) for ws in split]
 
     def decode(self, ids) -> str:
         """Tokens joined by a space, as the library does for a file without a decoder; special ones too, unknown ids left out."""
         return " ".join(filter(None, map(self.tokens.get, ids)))
 
 
+def is_latin(text: str) -> bool:
+    """Whether all of it is up to U+00FF. Such a text is in NFC."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def lower(text: str) -> str:
     """Lower case character by character: a sigma at a word's end is no special case."""
     return text.lower() if "Σ" not in text else "σ".join(p.lower() for p in text.split("Σ"))
@@ -159,19 +191,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(text: Column, path: str) -> Column:
-    """The ids of each text; null, empty and blank texts have none. ``path`` is a vocabulary file that every executor has."""
+def id_lists(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
 
-    def run(texts: pa.Array) -> pa.Array:
-        known, offsets, ids = vocabulary(path), [0], []
-        for at in range(0, len(texts), 64):
-            for found in known.encode(texts[at : at + 64].to_pylist()):
-                ids.append(np.array(found, np.int32))
-                offsets.append(offsets[-1] + len(found))
-        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
-    return arrow_udf(run, T.ArrayType(T.IntegerType()))(text)
+def in_parts(texts: pa.Array, known: Vocabulary) -> list[np.ndarray]:
+    return [ids for at in range(0, len(texts), 256) for ids in known.encode(texts[at : at + 256].to_pylist())]
+
+
+def encode(text: Column, path: str) -> Column:
+    """The ids of each text; null, empty and blank texts have none. ``path`` is a vocabulary file that every executor has."""
+    return arrow_udf(lambda texts: id_lists(in_parts(texts, vocabulary(path))), T.ArrayType(T.IntegerType()))(text)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -182,3 +213,16 @@ def decode(ids: Column, path: str) -> Column:
         return pa.array([known.decode(x.as_py() or ()) for x in lists], pa.string())
 
     return arrow_udf(run, T.StringType())(ids)
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """(ids, decoded) of each text: the ids, and what they are decoded to. As two calls Spark would encode each text twice."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        known = vocabulary(path)
+        ids = in_parts(texts, known)
+        decoded = pa.array([known.decode(x.tolist()) for x in ids], pa.string())
+        return pa.StructArray.from_arrays([id_lists(ids), decoded], ["ids", "decoded"])
+
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    return arrow_udf(run, kind)(text)

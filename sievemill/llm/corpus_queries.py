@@ -97,9 +97,8 @@ def mix(spark, sf):
 def encode(spark, sf):
     """Every document as token ids and back."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids = table(spark, sf, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("decoded"))
-    return both.select(
+    both = table(spark, sf, "documents").select("doc_id", bpe.round_trip(F.col("text"), path).alias("both"))
+    return both.select("doc_id", "both.*").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
