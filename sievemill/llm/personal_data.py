@@ -316,17 +316,19 @@ def fit(docs: DataFrame, text_col: str = "text", most: int = STRETCHES) -> np.nd
 def find(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(spans of the patterns, spans that the field adds); none of the latter overlaps one of the former."""
     runs = [*figure_runs(text)]
-    base = base_spans(text, runs)
-    taken, added = sorted((a, b) for _, a, b in base), []
+    base, added = base_spans(text, runs), []
+    taken, t = sorted((a, b) for _, a, b in base), 0
     for start, end in stretches(text, runs):
-        covered = sum(b - a for a, b in taken if start <= a and b <= end) if taken else 0
-        if end - start - covered < LEAST_FIGURES:
-            continue
-        lat = lattice(text, start, end)
-        for kind, i, j in best_segments(lat, weights):
-            a, b = (lat.ends[i - 1] if i else start), lat.ends[j - 1]
-            if not any(x < b and a < y for x, y in taken):
-                added.append((kind, a, b))
+        # What the patterns took is taken: the field goes over what is left between.
+        pieces, at = [], start
+        while t < len(taken) and taken[t][0] < end:
+            pieces.append((at, taken[t][0]))
+            at = max(at, taken[t][1])
+            t += 1
+        for a, b in (*pieces, (at, end)):
+            if b - a >= LEAST_FIGURES:
+                lat = lattice(text, a, b)
+                added += [(kind, lat.ends[i - 1] if i else a, lat.ends[j - 1]) for kind, i, j in best_segments(lat, weights)]
     return base, sorted(added)
 
 
