@@ -37,7 +37,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and what they are decoded to."""
+    """Token ids of every document, and what they are decoded to. Rows go to Python by the thousand: ids and decoded text come back with them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     both = docs.select("doc_id", "lang", "source", bpe.round_trip(F.col("text"), VOCABULARY).alias("_both"))
     return both.select("doc_id", "lang", "source", F.size("_both.ids").cast("long").alias("n_tokens"), "_both.ids", "_both.decoded")
 
