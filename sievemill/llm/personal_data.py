@@ -34,6 +34,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 FIGURES = re.compile(r"[0-9][0-9\x20.()+-]*")
 DISGUISED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[({] ?at ?[\])}] ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?[\[({] ?dot ?[\])}] ?)[A-Za-z0-9-]{1,64}){1,8}", re.I)
+#: What every match of DISGUISED holds; texts without it are spared the longer search.
+AT = re.compile(r"[\[({] ?at ?[\])}]", re.I)
 ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
 MOST_ATOMS, MOST_CHARS, LEAST_FIGURES = 40, 160, 7
@@ -108,7 +110,7 @@ def stretches(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
             end += 1
         found.append((start, end))
         at = text.find("@", end)
-    if "at" in text and ("at]" in text or "at)" in text or "at}" in text or "at ]" in text or "at )" in text):
+    if AT.search(text):
         found += [m.span() for m in DISGUISED.finditer(text)]
     out: list[tuple[int, int]] = []
     for start, end in sorted(found):
@@ -145,7 +147,7 @@ def features(span: str, before: str, after: str) -> list[int]:
         ("brackets", "(" in span), ("letters", min(letters, 3), len(figures) > 8), ("spaces", min(span.count(" "), 5)),
         ("luhn", 13 <= len(figures) <= 19 and luhn(figures), len(figures) in range(13, 20)),
         ("octets", len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups), span.count(".")),
-        ("at", span.count("@"), bool(re.search(r"[\[({] ?at ?[\])}]", span, re.I))), ("dot", bool(re.search(r"\.[A-Za-z]{2,}$|dot ?[\])}] ?[A-Za-z]{2,}$", span))),
+        ("at", span.count("@"), bool(AT.search(span))), ("dot", bool(re.search(r"\.[A-Za-z]{2,}$|(?i:dot) ?[\])}] ?[A-Za-z]{2,}$", span))),
         ("first", surrounding(span[0])), ("last", surrounding(span[-1])), ("before", surrounding(before)), ("after", surrounding(after)),
         ("around", surrounding(before), surrounding(span[0])), ("bias",),
     ]

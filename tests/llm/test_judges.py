@@ -207,6 +207,12 @@ def test_field_adds_what_patterns_miss(weights):
     assert found("in 1999 or 2001 there were 12 of 345") == []
 
 
+def test_disguised_addresses_in_any_case(weights):
+    found = lambda t: [(personal_data.KINDS[k], t[a:b]) for k, a, b in personal_data.find(t, weights)[1]]
+    for address in ("joe.doe [AT] example [DOT] com", "joe.doe (At) example.org", "JOE.DOE { AT } EXAMPLE { DOT } COM", "joe.doe[aT]example[Dot]com"):
+        assert found(f"to {address} please") == [("email", address)]
+
+
 def test_base_spans_stay(weights):
     text = "a@b.example.org at 10.0.0.1 by 4111111111111111 or +1 (136) 555-7479"
     base, added = personal_data.find(text, weights)
