@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from sievemill.llm.common import written
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 #: The patterns. A match of ip starts at a run's first figure and takes runs whole, which finds the same and stays linear.
@@ -39,7 +41,7 @@ AT = re.compile(r"[\[({] ?at ?[\])}]", re.I)
 ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
 MOST_ATOMS, MOST_CHARS, LEAST_FIGURES = 40, 160, 7
-#: Stretches that weights are learned from, those whose text has the smallest hash; no more come to the driver.
+#: Stretches that weights are learned from, of each kind those whose text has the smallest hash; the driver gets at most so many of each kind.
 STRETCHES = 1_500
 PLACES = 1 << 12
 FEATURES = 18
@@ -232,6 +234,17 @@ def expected(lat: Lattice, scores: np.ndarray) -> tuple[float, np.ndarray]:
 # --- learning ---------------------------------------------------------------------------------------------------------
 
 
+def lesson(text: str) -> list[tuple[int, int, int]] | None:
+    """The sure entities of a stretch in its surroundings; None if it teaches nothing, as matches overlap or fail their check."""
+    failed: list = []
+    spans = base_spans(text, failed=failed)
+    if not all(a[2] <= b[1] for a, b in pairwise(sorted(spans, key=lambda s: s[1:]))):
+        return None
+    if [f for f in failed if not any(s[1] <= f[1] and f[2] <= s[2] for s in spans)]:
+        return None
+    return spans
+
+
 def examples(contexts: list[str]) -> list[tuple[str, int, int, list[tuple[int, int, int]]]]:
     """(text, start, end, entities) of stretches in their surroundings, one character either side; variants and made-up ones included."""
     out, rng = [], np.random.default_rng(0)
@@ -242,10 +255,7 @@ def examples(contexts: list[str]) -> list[tuple[str, int, int, list[tuple[int, i
 
     sure = []
     for text in contexts:
-        failed: list = []
-        spans = base_spans(text, failed=failed)
-        apart = all(a[2] <= b[1] for a, b in pairwise(sorted(spans, key=lambda s: s[1:])))
-        if apart and not [f for f in failed if not any(s[1] <= f[1] and f[2] <= s[2] for s in spans)]:
+        if (spans := lesson(text)) is not None:
             add(text, spans)
             sure += [(k, text[a:b]) for k, a, b in spans]
     for kind, span in sure:
@@ -296,20 +306,37 @@ def learn(contexts: list[str], rounds: int = 40, rate: float = 0.4, ridge: float
     return weights
 
 
-def fit(docs: DataFrame, text_col: str = "text", most: int = STRETCHES) -> np.ndarray:
-    """Weights learned from at most ``most`` distinct stretches of the corpus with a character of their surroundings."""
+def sample(docs: DataFrame, text_col: str = "text", most: int = STRETCHES) -> list[str]:
+    """At most ``most`` distinct stretches that teach something, with a character of their surroundings.
+
+    All of them if there are no more. Else each kind, and those without an entity, have an equal share of the places, and what
+    one does not fill goes to the others. So a kind that occurs anywhere is among them, however rare it is.
+    """
 
     def contexts(texts: pa.Array) -> pa.Array:
         out = []
         for value in texts:
             text = value.as_py() or ""
-            runs = [*figure_runs(text)]
-            out.append([text[max(0, a - 1) : b + 1] for a, b in stretches(text, runs) if b - a <= MOST_CHARS])
-        return pa.array(out, pa.list_(pa.string()))
+            runs, row = [*figure_runs(text)], []
+            for a, b in stretches(text, runs):
+                if b - a <= MOST_CHARS and (spans := lesson(context := text[max(0, a - 1) : b + 1])) is not None:
+                    row.append({"context": context, "kinds": sum(1 << k for k in {s[0] for s in spans} or {OTHER})})
+            out.append(row)
+        return pa.array(out, pa.list_(pa.struct([("context", pa.string()), ("kinds", pa.int32())])))
+
+    kind = T.StructType([T.StructField("context", T.StringType()), T.StructField("kinds", T.IntegerType())])
+    found = written(docs.select(F.inline(arrow_udf(contexts, T.ArrayType(kind))(F.col(text_col)))).distinct())
+    first: dict[tuple[int, str], int] = {}
+    for k in range(OTHER + 1):
+        rows = found.where(F.col("kinds").bitwiseAND(1 << k) != 0).select(F.xxhash64("context").alias("hash"), "context")
+        for rank, r in enumerate(rows.orderBy("hash", "context").limit(most).collect()):
+            first[r.hash, r.context] = min(rank, first.get((r.hash, r.context), rank))
+    return [context for _, context in sorted(sorted(first, key=lambda c: (first[c], c))[:most])]
 
-    found = docs.select(F.explode(arrow_udf(contexts, T.ArrayType(T.StringType()))(F.col(text_col))).alias("context")).distinct()
-    rows = found.orderBy(F.xxhash64("context"), "context").limit(most).collect()
-    return learn([r.context for r in rows])
+
+def fit(docs: DataFrame, text_col: str = "text", most: int = STRETCHES) -> np.ndarray:
+    """Weights learned from the ``sample`` of the corpus."""
+    return learn(sample(docs, text_col, most))
 
 
 # --- finding ----------------------------------------------------------------------------------------------------------

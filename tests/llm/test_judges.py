@@ -213,6 +213,20 @@ def test_disguised_addresses_in_any_case(weights):
         assert found(f"to {address} please") == [("email", address)]
 
 
+def test_rare_kinds_are_learned(spark):
+    """One stretch of a kind among thousands without an entity; the sample holds it, and all of a corpus that fits."""
+    rng = np.random.default_rng(6)
+    rare = ["mail to joe.doe@mail.example.com now", "from 10.20.30.40 today", "card 4111 1111 1111 1111 paid", "call +1 (136) 555-7479 now"]
+    texts = [f"entry {figures(rng, 9)}.{figures(rng, 2)} of log {i % 7}" for i in range(4000)] + rare + ["no 4111 1111 1111 1112 card"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = personal_data.sample(docs, most=60)
+    assert len(found) == 60 and {s[0] for t in found for s in personal_data.base_spans(t)} == {0, 1, 2, 3}
+    assert sorted(found) == sorted(personal_data.sample(docs.repartition(7), most=60))
+    assert len(personal_data.sample(docs, most=5000)) == 4004  # the failed one teaches nothing
+    weights = personal_data.fit(docs, most=60)
+    assert not any((w == -1.0).all() for w in weights)
+
+
 def test_base_spans_stay(weights):
     text = "a@b.example.org at 10.0.0.1 by 4111111111111111 or +1 (136) 555-7479"
     base, added = personal_data.find(text, weights)
