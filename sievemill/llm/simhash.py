@@ -275,12 +275,8 @@ def contracted(pairs: DataFrame) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, print, component_id) of every row: the fingerprint as a signed long, and the smallest id that links reach.
-
-    Texts without words (null, empty, blank) have fingerprint zero and are linked like any other. Rows all alike share a fingerprint.
-    A null id is never the smallest unless its component has no other. An empty table gives no rows. Very long texts are hashed whole.
-    """
+def with_components(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, print, part, component_id) of every row; part tells components apart, also those that share their smallest id or have none."""
     prints = written(docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
     distinct = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -292,14 +288,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = distinct.join(parts, distinct["print"] == parts["node"], "left").select("print", "least_id", F.coalesce("part", "print").alias("part"))
     named = written(named)
     least = named.groupBy("part").agg(F.min("least_id").alias("component_id"))
-    components = named.join(least, "part").select("print", "component_id")
+    components = named.join(least, "part").select("print", "part", "component_id")
     return prints.join(components, "print")
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, print, component_id) of every row: the fingerprint as a signed long, and the smallest id that links reach.
+
+    Texts without words (null, empty, blank) have fingerprint zero and are linked like any other. Rows all alike share a fingerprint.
+    A null id is never the smallest unless its component has no other. An empty table gives no rows. Very long texts are hashed whole.
+    """
+    return with_components(docs, id_col, text_col, shingle).drop("part")
+
+
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row left of each component, that of the smallest id; all columns stay. Rows all alike are one row."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id", "print").alias("_stay")).distinct()
+    """``docs`` with one row left of each component, that of the smallest id, then fingerprint; all columns stay. Rows all alike are one row."""
+    found = with_components(docs, id_col, text_col, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = found.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")).select(F.struct("doc_id", "print").alias("_stay"))
     # The fingerprint tells apart rows that share an id but not their text.
     own = docs.withColumn("_own", F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
     same = (F.col("_own.print") == F.col("_stay.print")) & F.col("_own.doc_id").eqNullSafe(F.col("_stay.doc_id"))

@@ -188,6 +188,24 @@ def test_one_of_each_group(edges):
     assert Counter(r.doc_id for r in left.select("doc_id").collect()) == Counter(want)
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_one_row_stays_of_a_repeated_id(spark, doc_id):
+    """Near texts of one id, or of none, with fingerprints that differ; and a group of its own with the same id."""
+    words = [f"w{i}" for i in range(400)]
+    near = {}
+    for i in range(400):
+        text = " ".join([*words[:i], "other", *words[i + 1 :]])
+        near.setdefault(print_expected(text), text)
+    near, first = list(near.items()), next(iter(near))
+    texts = [t for p, t in near if 0 <= (p ^ first).bit_count() <= 3]
+    assert len(texts) > 1
+    far = " ".join(f"far{i}" for i in range(400))
+    docs = spark.createDataFrame([(doc_id, t) for t in [*texts, far]], "doc_id long, text string")
+    left = [r.text for r in simhash.one_of_each_group(docs).collect()]
+    assert len(left) == 2 and far in left
+    assert left[left[0] == far] == min(texts, key=lambda t: (p := print_expected(t)) - 2**64 * (p >= 2**63))
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.exact_groups(nothing).count() == 0
     assert line_dedup.drop_repeated_lines(nothing).count() == 0
