@@ -1,5 +1,5 @@
 """Registered queries of this subpackage: name -> (Spark query, the same as SQL or None)."""
 
-from sievemill.llm import corpus_queries, dedup_queries
+from sievemill.llm import corpus_queries, dedup_queries, mining_queries
 
-QUERIES = {**corpus_queries.QUERIES, **dedup_queries.QUERIES}
+QUERIES = {**corpus_queries.QUERIES, **dedup_queries.QUERIES, **mining_queries.QUERIES}
