@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +33,30 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 NO_LANGUAGE = "und"
 TO_PIECES = bytes.maketrans(UPPER.encode() + b"\t" + PIECE_ENDS, LOWER.encode() + b" " + b"\n" * len(PIECE_ENDS))
 
-CHUNK_WORDS = 1 << 20
-#: Suffixes that are sorted at once.
-SLICE = 1 << 21
+CHUNK_WORDS = 1 << 21
+#: Words that a bucket is meant for, and suffixes that are sorted at once.
+BUCKET_WORDS = 1 << 21
+SLICE = 1 << 22
 #: Bits of the bitmap of frequent words: 16 for each of them, and so many at most (16 MB).
 BITMAP_BITS = 27
+#: A word that holds more than one in so many of all words is common: there are no more of them, and they travel by rank (12 MB known to all).
+COMMON = 1 << 20
 SALTS = 64
-WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("h", pa.int64()), ("n", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+WORDS = pa.schema([*COUNTS, ("h", pa.int64())])
 ROUTED = pa.schema([("bucket", pa.int64()), ("payload", pa.binary())])
 COUNTED = pa.schema([("key", pa.binary()), ("n", pa.int64())])
 
 
+@lru_cache(1024)
+def language_seed(lang: str, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed)
+
+
+def word_hash(lang: str, word: bytes, seed: int) -> int:
+    return max(1, xxhash.xxh3_64_intdigest(word, language_seed(lang, seed)))
+
+
 class Numbers(dict):
     """Words of one language, numbered as they come."""
 
@@ -81,12 +95,8 @@ class Chunk:
         return ((lang, word) for _, lang, word in sorted(known))
 
     def hashes(self, seed: int) -> np.ndarray:
-        """A hash of language and word by number, that of 0 is 0."""
-        seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed) for lang in self.languages}
-        out = np.zeros(next(self.numbers), np.uint64)
-        for lang, words in self.languages.items():
-            out[list(words.values())] = [max(1, xxhash.xxh3_64_intdigest(w, seeds[lang])) for w in words]
-        return out
+        """Their hashes by number, that of 0 is 0."""
+        return np.array([0, *(word_hash(lang, word, seed) for lang, word in self.words())], np.uint64)
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -101,15 +111,20 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         yield chunk
 
 
-def word_counts(seed: int):
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in chunks(batches):
+        counts, names = np.bincount(chunk.tokens())[1:], list(chunk.words())
+        for at in range(0, len(names), 100_000):
+            langs, words = zip(*names[at : at + 100_000])
+            yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words, pa.string()), pa.array(counts[at : at + 100_000], pa.int64())], schema=COUNTS)
+
+
+def hashed_words(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
-            counts, names = np.bincount(chunk.tokens())[1:], list(chunk.words())
-            hashes = chunk.hashes(seed)[1:].view(np.int64)
-            for at in range(0, len(names), 100_000):
-                langs, words = zip(*names[at : at + 100_000])
-                columns = [pa.array(langs), pa.array(words, pa.string()), pa.array(hashes[at : at + 100_000]), pa.array(counts[at : at + 100_000], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, schema=WORDS)
+        for batch in batches:
+            names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            hashes = np.array([word_hash(lang, word.encode("utf-8", "surrogatepass"), seed) for lang, word in names], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes.view(np.int64))], schema=WORDS)
 
     return run
 
@@ -147,34 +162,65 @@ def merged_suffixes(route: np.ndarray, columns: list[np.ndarray]) -> tuple[np.nd
     return order[first], np.diff(first, append=len(order))
 
 
+def ranks(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rank of each hash among the common ones (sorted, with their ranks), their number for others."""
+    known, rank = common
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, rank[at], len(known))
+
+
 def routed_suffixes(frequent, hot_hashes: np.ndarray, buckets: int, longest: int, seed: int):
-    """``frequent``: a broadcast of the bitmap of frequent words."""
+    """``frequent``: a broadcast of the bitmap of frequent words and of the common ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = frequent.value
+        bits, common = frequent.value
+        n_common = len(common[0])
         shift = np.uint64(64 - (8 * len(bits)).bit_length() + 1)
         for chunk in chunks(batches):
             hashes = chunk.hashes(seed)
+            rank = ranks(hashes, common)
             bit = hashes >> shift
             known = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             known[0] = False
-            tokens = chunk.tokens()
-            columns = suffix_columns(np.where(known[tokens], tokens, 0), longest)
+            # Words are numbered by rank, frequent ones first, so that the numbers pack well.
+            order = np.flatnonzero(known)
+            order = np.r_[0, order[np.argsort(rank[order], kind="stable")]]
+            number = np.zeros(len(hashes), np.int32)
+            number[order] = np.arange(len(order))
+            hashes, rank = hashes[order], rank[order]
+            columns = suffix_columns(number[chunk.tokens()], longest)
             route = routes(columns, hashes, np.isin(hashes, hot_hashes), buckets)
             place, weight = merged_suffixes(route, columns)
             route, columns = route[place], [c[place] for c in columns]
             cuts = np.flatnonzero(np.diff(route, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(route)]):
-                # Words are numbered anew in each entry, so that the numbers are small.
+                # In each entry words are numbered anew: the end of a suffix, common words by rank, others.
                 numbers, local = np.unique(np.concatenate([c[a:b] for c in columns]), return_inverse=True)
-                words = pack(hashes[numbers])
-                rest = pack(*local.astype(np.uint32).reshape(longest, b - a), weight[a:b].astype(np.uint32))
-                payload = len(words).to_bytes(4, "little") + words + rest
+                numbers = numbers[numbers > 0]
+                local += len(numbers) + 1 - (local.max() + 1)  # an entry without the end has no 0
+                by_rank = numbers[rank[numbers] < n_common]
+                parts = [
+                    pack(np.diff(rank[by_rank], prepend=0).astype(np.uint32)),
+                    pack(hashes[numbers[len(by_rank) :]]),
+                    pack(*local.astype(np.uint32).reshape(longest, b - a), weight[a:b].astype(np.uint32)),
+                ]
+                payload = b"".join(len(p).to_bytes(4, "little") for p in parts[:2]) + b"".join(parts)
                 yield pa.RecordBatch.from_arrays([pa.array([route[a]], pa.int64()), pa.array([payload], pa.binary())], schema=ROUTED)
 
     return run
 
 
+def unpacked(payload: bytes, ranked: np.ndarray, longest: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(hashes by number from 1, columns of numbers, weights) of an entry; ``ranked``: hashes of common words by rank."""
+    first, second = (8 + int.from_bytes(payload[:4], "little"), int.from_bytes(payload[4:8], "little"))
+    by_rank = ranked[np.cumsum(unpack(payload[8:first], np.uint32)[0], dtype=np.int64)]
+    others = unpack(payload[first : first + second], np.uint64)[0]
+    *columns, weights = unpack(payload[first + second :], *[np.uint32] * (longest + 1))
+    return np.r_[by_rank, others], columns, weights
+
+
 def frequent_prefixes(columns: list[np.ndarray], weights: np.ndarray, hot: int, least: int) -> Iterator[tuple[int, int, int]]:
     """(a suffix, number of its leading words, occurrences of these) for all prefixes of two words or more that may be frequent.
 
@@ -211,55 +257,50 @@ def frequent_prefixes(columns: list[np.ndarray], weights: np.ndarray, hot: int,
                 enter(equal, depth + 1, in_parts)
 
 
-def sorted_slice(payloads: list[bytes], hot_hashes: np.ndarray, least: int, longest: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the prefixes of some entries."""
-    all_hashes, parts = [], []
-    for payload in payloads:
-        end = 4 + int.from_bytes(payload[:4], "little")
-        hashes = unpack(payload[4:end], np.uint64)[0]
-        *columns, weights = unpack(payload[end:], *[np.uint32] * (longest + 1))
-        parts.append((hashes, columns, weights))
-        all_hashes.append(hashes)
+def sorted_slice(entries: list[tuple], hot_hashes: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the prefixes of some entries, unpacked."""
     # Numbers of the slice: 0 for the end, then the hot words, then the others.
-    distinct = np.unique(np.concatenate(all_hashes))
-    distinct = distinct[distinct > 0]
+    distinct = np.unique(np.concatenate([hashes for hashes, _, _ in entries]))
     is_hot = np.isin(distinct, hot_hashes)
     ordered = np.r_[np.zeros(1, np.uint64), distinct[is_hot], distinct[~is_hot]]
     number = np.empty(len(distinct), np.int32)
     number[np.r_[np.flatnonzero(is_hot), np.flatnonzero(~is_hot)]] = np.arange(1, len(ordered))
-    local = [np.where(hashes > 0, number[np.minimum(np.searchsorted(distinct, hashes), len(distinct) - 1)], 0) for hashes, _, _ in parts]
-    columns = [np.concatenate([of[c[d]] for of, (_, c, _) in zip(local, parts)]).astype(np.int32) for d in range(longest)]
-    weights = np.concatenate([w for _, _, w in parts]).astype(np.int64)
+    local = [np.r_[np.zeros(1, np.int32), number[np.searchsorted(distinct, hashes)]] for hashes, _, _ in entries]
+    columns = [np.concatenate(parts) for parts in zip(*([of[c] for c in columns] for of, (_, columns, _) in zip(local, entries)))]
+    weights = np.concatenate([w for _, _, w in entries]).astype(np.int64)
     found = frequent_prefixes(columns, weights, int(is_hot.sum()), least)
     while some := list(itertools.islice(found, 50_000)):
         keys = [ordered[[c[at] for c in columns[:size]]].astype(">u8").tobytes() for at, size, _ in some]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([n for _, _, n in some], pa.int64())], schema=COUNTED)
 
 
-def bucket_counts(hot_hashes: np.ndarray, least: int, longest: int):
+def bucket_counts(frequent, hot_hashes: np.ndarray, least: int, longest: int):
     """Rows come sorted by bucket. A bucket of more than SLICE suffixes is counted in parts, none of which may be left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = frequent.value[1]
+        ranked = np.empty_like(known)
+        ranked[rank] = known
         rows = ((b, p) for batch in batches for b, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
         for _, group in itertools.groupby(rows, key=lambda row: row[0]):
             held, size, cut = [], 0, False
             for _, payload in group:
                 if size >= SLICE:
-                    yield from sorted_slice(held, hot_hashes, 1, longest)
+                    yield from sorted_slice(held, hot_hashes, 1)
                     held, size, cut = [], 0, True
-                held.append(payload)
-                end = 4 + int.from_bytes(payload[:4], "little")
-                size += len(unpack(payload[end:], *[np.uint32] * (longest + 1))[0])
-            yield from sorted_slice(held, hot_hashes, 1 if cut else least, longest)
+                held.append(unpacked(payload, ranked, longest))
+                size += len(held[-1][2])
+            yield from sorted_slice(held, hot_hashes, 1 if cut else least)
 
     return run
 
 
 def counted_words(texts: DataFrame, least: int) -> tuple[DataFrame, int]:
-    """(lang, word, h, n) of all words, written, and the seed under which no word shares its hash with a frequent one."""
+    """(lang, word, n, h) of all words, written, and the seed under which no word shares its hash with a frequent one."""
+    parts = texts.mapInArrow(word_counts, "lang string, word string, n long")
+    counts = written(parts.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     for seed in itertools.count():
-        counts = texts.mapInArrow(word_counts(seed), "lang string, word string, h long, n long")
-        words = written(counts.groupBy("lang", "word", "h").agg(F.sum("n").alias("n")))
+        words = written(counts.mapInArrow(hashed_words(seed), "lang string, word string, n long, h long"))
         shared = words.groupBy("h").agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("most"))
         if shared.where((F.col("words") > 1) & (F.col("most") >= least)).isEmpty():
             return words, seed
@@ -285,14 +326,19 @@ def frequent_phrases(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = words.where(F.col("n") >= least)
-    # A hot word has more than its share of a partition's occurrences, so there are at most ``spread`` of them.
-    hot = frequent.where(F.col("n") > total // (spread or partitions)).select("h").collect()
-    hot_hashes = np.array([r.h for r in hot], np.int64).view(np.uint64)
-    bitmap = spark.sparkContext.broadcast(word_bitmap(frequent, frequent.count()))
-    buckets = max(8 * partitions, total // CHUNK_WORDS)
-    routed = texts.mapInArrow(routed_suffixes(bitmap, hot_hashes, buckets, longest, seed), "bucket long, payload binary")
-    dealt = routed.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    counts = dealt.mapInArrow(bucket_counts(hot_hashes, least, longest), "key binary, n long")
+    # Words of more than a share of all: at most as many as there are shares. Hot ones have more than a partition's share.
+    common = frequent.where(F.col("n") > total // COMMON).select("h", "n").toArrow()
+    hashes, sizes = common.column(0).to_numpy().view(np.uint64), common.column(1).to_numpy()
+    hot_hashes = hashes[sizes > total // min(spread or partitions, COMMON)]
+    by_hash, rank = np.argsort(hashes), np.empty(len(hashes), np.int32)
+    rank[np.lexsort([hashes, -sizes])] = np.arange(len(hashes))
+    known = (word_bitmap(frequent, frequent.count()), (hashes[by_hash], rank[by_hash]))
+    broadcast = spark.sparkContext.broadcast(known)
+    # As many buckets for every partition, and few: an entry carries the hashes of its words, which tell when it is large.
+    buckets = partitions * max(1, -(-total // (partitions * BUCKET_WORDS)))
+    routed = texts.mapInArrow(routed_suffixes(broadcast, hot_hashes, buckets, longest, seed), "bucket long, payload binary")
+    dealt = routed.repartitionById(partitions, (F.col("bucket") % partitions).cast("int")).sortWithinPartitions("bucket")
+    counts = dealt.mapInArrow(bucket_counts(broadcast, hot_hashes, least, longest), "key binary, n long")
     return written(counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
 
 
