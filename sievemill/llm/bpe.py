@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from sievemill.llm.common import once
+
 #: Words whose ids a worker remembers; the table starts anew when it is full.
 REMEMBERED = 200_000
 #: Words that are encoded at once.
@@ -186,9 +187,8 @@ def lower(text: str) -> str:
     return text.lower() if "Σ" not in text else "σ".join(p.lower() for p in text.split("Σ"))
 
 
-@cache
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    return once(Vocabulary, path)
 
 
 def id_lists(found: list[np.ndarray]) -> pa.ListArray:

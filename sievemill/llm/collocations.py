@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +47,9 @@ ROUTED = pa.schema([("bucket", pa.int64()), ("payload", pa.binary())])
 COUNTED = pa.schema([("key", pa.binary()), ("n", pa.int64())])
 
 
-@lru_cache(1024)
-def language_seed(lang: str, seed: int) -> int:
-    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed)
-
-
 def word_hash(lang: str, word: bytes, seed: int) -> int:
-    return max(1, xxhash.xxh3_64_intdigest(word, language_seed(lang, seed)))
+    """Never 0, which stands for the end of a suffix."""
+    return max(1, xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed)))
 
 
 class Numbers(dict):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,15 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tid"))
 
 
+def once(make: Callable, *args):
+    """``make(*args)``, worked out once in a process. Functions travel by value, so a task finds no module that could keep it."""
+    known = vars(sys).setdefault("_sievemill_once", {})
+    key = (make.__module__, make.__qualname__, args)
+    if key not in known:
+        known[key] = make(*args)
+    return known[key]
+
+
 def word_list(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8: runs of anything but SPACES, which is how bytes are split."""
     return (text or "").encode("utf-8", "surrogatepass").split()

@@ -17,7 +17,6 @@ the next round.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sievemill.llm.common import written
+from sievemill.llm.common import once, written
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -66,8 +65,7 @@ def simhash(text: Column, shingle: int = SHINGLE) -> Column:
     return arrow_udf(run, T.LongType())(text)
 
 
-@cache
-def golay() -> tuple[np.ndarray, list[list[np.ndarray]]]:
+def golay_tables() -> tuple[np.ndarray, list[list[np.ndarray]]]:
     """syndrome -> the error of weight 3 or less that has it; and, by excess e from 0 to THRESHOLD, syndrome -> all errors of weight 3 + e,
     or at most 3 for e = 0."""
     of_bit = np.zeros(LENGTH, np.uint32)
@@ -113,14 +111,14 @@ def anchor(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def homes(prints: np.ndarray) -> np.ndarray:
-    leader, _ = golay()
+    leader, _ = once(golay_tables)
     left, right = blocks(prints)
     return anchor(left ^ leader[syndrome(left)], right ^ leader[syndrome(right)])
 
 
 def reached(prints: np.ndarray) -> Iterator[np.ndarray]:
     """For each fingerprint, all anchors that may be the home of one at most THRESHOLD bits away."""
-    _, by_excess = golay()
+    _, by_excess = once(golay_tables)
     left, right = blocks(prints)
     for x, y, s, t in zip(left, right, syndrome(left), syndrome(right)):
         at = []

@@ -171,7 +171,7 @@ def test_chains_of_near_texts(spark):
 
 def test_code_covers():
     """Every error pattern of 23 bits is within the radius of one code word, and reach finds each home three bits away."""
-    leader, by_excess = simhash.golay()
+    leader, by_excess = simhash.golay_tables()
     assert len(np.unique(leader)) == 2**11 and max(int(x).bit_count() for x in leader) == 3
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 500, dtype=np.uint64)
