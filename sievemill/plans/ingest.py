@@ -1,7 +1,6 @@
 """The whole run: files in, fact tables, quarantine table, ledger and report out.
 
-    files -> hash -> ledger -> unzip, decode, cut into records               (task-side, one pass)
-                       |-> large plain files in splits
+    files -> hash -> ledger -> unzip, decode, cut into records               (task-side, one pass; large plain files in splits)
           -> schema by keyword, header to positions                          (once per chunk)
           -> fields, canonical columns, rules                                (once per row, one projection)
           -> staged table -> verdict per file -> facts and quarantine -> outcomes -> ledger, report
@@ -27,7 +26,7 @@ from sievemill.operators import load, normalize, outcomes, quality
 from sievemill.operators.tables import LEDGER_TABLE, Warehouse
 from sievemill.registry import Registry, SchemaSpec, build_registry
 from sievemill.session import shared_folder, write_and_reread
-from sievemill.sources import csv_scan
+from sievemill.sources import split_scan
 from sievemill.sources.files import hash_files, list_files, only_targets, with_empty_files
 from sievemill.sources.members import read_members
 
@@ -83,34 +82,6 @@ def fields_of_records(recognised: DataFrame) -> DataFrame:
     return fielded.withColumn("too_long", F.coalesce(F.size("_fields") > F.col("width"), F.lit(False)))
 
 
-def fields_of_large_files(spark: SparkSession, plain: list[csv_scan.PlainFile], registry: Registry) -> DataFrame:
-    """The same for plain files that are read in splits; their facts are few and joined on."""
-    about = [(f.file_name, f.content_hash, f.length, f.head, f.header) for f in plain]
-    facts = spark.createDataFrame(about, "file_name string, content_hash string, n_bytes long, head string, header string")
-    facts = recognise(
-        facts.withColumns(
-            {
-                "is_archive": F.lit(False),
-                "member_no": F.lit(0),
-                "display_name": F.col("file_name"),
-                "encoding": F.lit("utf-8"),
-            }
-        ),
-        registry,
-    ).drop("head", "header", "names")
-    columns = [*FILE_FACTS, "positions", "width", "row_no", "_fields", "too_long"]
-    marks = ["error", "decode_error"]
-    rows = csv_scan.scan_plain(spark, plain).join(facts.drop(*marks), "file_name")
-    # Every file has a row of its facts alone, so its outcome hangs neither on having rows nor on how they are numbered.
-    alone = facts.withColumns(
-        {
-            "row_no": F.lit(None).cast("bigint"), "_fields": F.lit(None).cast("array<string>"), "too_long": F.lit(False),
-            **{c: F.lit(None).cast("string") for c in marks},
-        }
-    )
-    return rows.select(*columns).unionByName(alone.select(*columns))
-
-
 def parse_rows(fielded: DataFrame, registry: Registry) -> DataFrame:
     """Rows with the text columns of all schemas.
 
@@ -206,6 +177,17 @@ def _contents(files: DataFrame, hashed: DataFrame) -> DataFrame:
     return files.join(hashed.filter("NOT known").select("path"), "path", "left_semi")
 
 
+def read_large(large: DataFrame, scratch: str) -> DataFrame:
+    """Chunks of records of surveyed files: plain ones in splits, archives and files of endless lines each by one task."""
+    opened = split_scan.read_opened(large.filter("error IS NULL AND NOT in_splits")).repartition("path", "member_no", "chunk_no")
+    failed = large.filter("error IS NOT NULL").select("path", "content_hash", F.lit(False).alias("is_archive"), F.lit(0).alias("member_no"), F.col("length").alias("n_bytes"), "error")
+    chunks = opened.unionByName(failed, allowMissingColumns=True)
+    in_splits = large.filter("error IS NULL AND in_splits")
+    if in_splits.isEmpty():
+        return chunks
+    return chunks.unionByName(split_scan.read_splits(in_splits, scratch), allowMissingColumns=True)
+
+
 def mark_copies(hashed: DataFrame) -> DataFrame:
     """Adds ``same_as``: the first file of the run with the same content, for all others of it; a content is loaded once.
 
@@ -238,12 +220,14 @@ def ingest_files(
     run_id: str | None = None,
     check_types: bool = True,
     spread_above: int = 16 << 20,
+    split_above: int = 256 << 20,
     time_zone: str = "Asia/Taipei",
 ) -> IngestRun:
     """Ingest ``files`` (``path, file_name, length, content``) into the tables of ``warehouse``.
 
-    Every file whose content fits one value (2 GB) is read whole in one task, as a stream, whatever its size; the records of those larger
-    than ``spread_above`` are shuffled to more tasks once they are cut. Only beyond that are plain files read in splits. Of files
+    Rows, encodings, errors and identity of a file do not depend on its size. Files up to ``split_above`` bytes are read whole in one task, as a
+    stream; the records of those larger than ``spread_above`` are shuffled to more tasks once they are cut. Larger files are opened by path,
+    and plain ones among them read in splits by many tasks, quoted line breaks and all encodings included. Of files
     with the same content the first by name is loaded. To resume a run that broke off, call it again with the same ``run_id``.
     """
     if conflict not in (IGNORE, REPLACE):
@@ -253,34 +237,26 @@ def ingest_files(
     run_id = run_id or f"exec_{started.astimezone(ZoneInfo(time_zone)):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
     scratch = f"{shared_folder(spark, warehouse.root + '/_scratch')}/{run_id}"
 
-    # Hashes first, without the contents, so that the join with the ledger moves narrow rows only.
-    beyond = F.col("length") > csv_scan.CONTENT_LIMIT
+    # Hashes first, without the contents, so that the join with the ledger moves narrow rows only. Large files are opened by tasks.
+    beyond = F.col("length") > split_above
     hashes = hash_files(files.filter(~beyond))
-    huge = files.filter(beyond).select("path", "file_name", "length").collect()
-    if huge:
-        hashes = hashes.unionByName(csv_scan.file_fingerprints(spark, huge))
+    large = None
+    if not files.filter(beyond).select("path").isEmpty():
+        large = write_and_reread(split_scan.survey(files.filter(beyond)), scratch)
+        hashes = hashes.unionByName(large.select(*hashes.columns))
     hashed = write_and_reread(mark_copies(led.mark_known(hashes, warehouse.read(LEDGER_TABLE), mode)), scratch)
 
-    # Plain files whose content does not fit a value are read in splits. All others are unpacked and decoded task by task.
-    large = hashed.filter(~F.col("known") & beyond).collect() if huge else []
-    plain = csv_scan.find_plain(spark, large)
-    by_split = {f.path for f in plain}
     fresh = _contents(files.filter(~beyond), hashed.filter(~beyond))
     # What a large archive holds is spread over the cluster chunk by chunk; all else is parsed where it is unpacked.
     is_large = F.col("length") > spread_above
     large_chunks = read_members(fresh.filter(is_large)).repartition("path", "member_no", "chunk_no")
     chunks = read_members(fresh.filter(~is_large)).unionByName(large_chunks)
-    too_large = [f for f in large if f.path not in by_split]
-    if too_large:
-        marks = spark.createDataFrame([(f.path, f.content_hash, f.length) for f in too_large], "path string, content_hash string, n_bytes long")
-        marks = marks.withColumns({"is_archive": F.lit(False), "member_no": F.lit(0), "error": F.lit(csv_scan.TOO_LARGE)})
-        chunks = chunks.unionByName(marks, allowMissingColumns=True)
+    if large is not None:
+        chunks = chunks.unionByName(read_large(large.join(hashed.filter("NOT known").select("path"), "path", "left_semi"), scratch), allowMissingColumns=True)
     spread = chunks.withColumn("file_name", base_name("path")).withColumn(
         "display_name", F.concat_ws("/", "file_name", "member")
     )
     fielded = fields_of_records(recognise(spread, registry))
-    if plain:
-        fielded = fielded.unionByName(fields_of_large_files(spark, plain, registry))
     checked = check_rows(parse_rows(fielded, registry), registry, check_types)
     staged = write_and_reread(
         checked.withColumn("_schema", F.coalesce("schema_name", F.lit(NO_SCHEMA))), scratch, ["_schema"]
