@@ -2,24 +2,33 @@
 
 Keyed tables are partitioned by the month of the first date in their key, so a load reads only the months it brings.
 The other tables are partitioned by load, and a load that is run again replaces its own rows.
-One writer at a time: plain Parquet has no transactions.
+
+Every write goes to a folder of its own and counts from the moment a version of the table names it (``versions``). So a table is never
+seen half written or half replaced, a reader stays with the version it began with, and of two writers the later one takes
+account of what the earlier one wrote.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemill.operators import load
 from sievemill.operators.ledger import LEDGER_SCHEMA
+from sievemill.operators.versions import Version, VersionLog
 from sievemill.registry import Registry
 
 LEDGER_TABLE = "ingest_ledger"
 PERIOD = "load_period"
 LOAD = "load_id"
+WRITE = "write_id"
 NO_DATE = "none"
+#: Writers that come between before a write gives up.
+TRIES = 20
 
 
 class Warehouse:
@@ -38,6 +47,8 @@ class Warehouse:
         # The ledger is the library's own table and always allowed.
         self.schemas[LEDGER_TABLE] = spark.createDataFrame([], LEDGER_SCHEMA).schema
         self.keys[LEDGER_TABLE] = []
+        #: Writes of each keyed table that the last batch was compared with.
+        self._compared: dict[str, int] = {}
 
     def path(self, table: str) -> str:
         self._check(table)
@@ -49,7 +60,8 @@ class Warehouse:
 
     def _layout(self, table: str) -> T.StructType:
         self._check(table)
-        return T.StructType([*self.schemas[table].fields, T.StructField(self._partition(table), T.StringType())])
+        partitions = [T.StructField(c, T.StringType()) for c in (WRITE, self._partition(table))]
+        return T.StructType([*self.schemas[table].fields, *partitions])
 
     def _partition(self, table: str) -> str:
         return PERIOD if self.keys[table] else LOAD
@@ -58,47 +70,64 @@ class Warehouse:
         dates = [k for k in self.keys[table] if isinstance(self.schemas[table][k].dataType, T.DateType)]
         return F.coalesce(F.date_format(dates[0], "yyyy-MM"), F.lit(NO_DATE)) if dates else F.lit("all")
 
+    def _log(self, table: str) -> VersionLog:
+        return VersionLog(self.spark, self.path(table))
+
     def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.schema(self._layout(table)).parquet(self.path(table))
-            return True
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
+        return self._log(table).latest().number >= 0
 
     def create(self, table: str) -> None:
         """Empty table of the declared columns, unless it is there."""
-        if not self.exists(table):
-            empty = self.spark.createDataFrame([], self._layout(table))
-            empty.write.mode("ignore").partitionBy(self._partition(table)).parquet(self.path(table))
+        log = self._log(table)
+        if log.latest().number < 0:
+            log.commit(Version(0))  # whoever else was first made the same
+
+    def _rows(self, table: str, version: Version, since: int = 0) -> DataFrame:
+        """Rows of a version, or those of its writes from ``since`` on; a condition on partitions alone."""
+        stored = self.spark.read.schema(self._layout(table)).parquet(self.path(table))
+        return stored.filter(version.counts(F.col(WRITE), F.col(self._partition(table)), since)).drop(WRITE)
 
     def _stored(self, table: str) -> DataFrame:
         self.create(table)
-        return self.spark.read.schema(self._layout(table)).parquet(self.path(table))
+        return self._rows(table, self._log(table).latest())
 
     def read(self, table: str) -> DataFrame:
         return self._stored(table).select(*self.schemas[table].names)
 
-    def _write(self, rows: DataFrame, table: str, mode: str) -> None:
-        partition = self._partition(table)
-        # Rebalancing keeps files of one partition few, and splits a partition that holds most of the rows.
-        (
-            rows.select(*self.schemas[table].names, partition)
-            .hint("rebalance", partition)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self.path(table))
-        )
+    def _write(self, table: str, make: Callable[[Version], tuple[DataFrame, list[str]]]) -> None:
+        """Writes and publishes what ``make`` says of a version: rows, and the partitions in which they take the place of all before.
+
+        Where another writer was faster, all is made anew from the version that it left."""
+        self.create(table)
+        log, partition = self._log(table), self._partition(table)
+        for _ in range(TRIES):
+            version, write = log.latest(), uuid.uuid4().hex
+            rows, gone = make(version)
+            # Rebalancing keeps files of one partition few, and splits a partition that holds most of the rows.
+            (
+                rows.select(*self.schemas[table].names, partition)
+                .hint("rebalance", partition)
+                .write.mode("errorifexists")
+                .partitionBy(partition)
+                .parquet(f"{self.path(table)}/{WRITE}={write}")
+            )
+            if log.commit(version.after(write, gone)):
+                return
+        raise RuntimeError(f"table {table!r} is changed by others faster than this write can be made")
 
     def load_slice(self, table: str, batch: DataFrame) -> DataFrame:
         """The part of a keyed table whose periods the batch brings, as a partition filter."""
         # A month is one value, so there are few; a stray date adds its own month and not all between.
-        periods = sorted(r[0] for r in batch.select(PERIOD).distinct().collect())
-        stored = self._stored(table)
+        periods = self._periods(batch)
+        self.create(table)
+        version = self._log(table).latest()
+        self._compared[table] = len(version.writes)
+        stored = self._rows(table, version)
         return stored.filter(F.col(PERIOD).isNotNull() & F.col(PERIOD).isin(*periods)) if periods else stored.limit(0)
 
+    def _periods(self, batch: DataFrame) -> list[str]:
+        return sorted(r[0] for r in batch.select(PERIOD).distinct().collect())
+
     def with_period(self, batch: DataFrame, table: str) -> DataFrame:
         return batch.withColumn(PERIOD, self._period(table))
 
@@ -116,18 +145,33 @@ class Warehouse:
 
         Run again with the same ``load_id`` it does not add the rows of an unkeyed table twice.
         """
-        self.create(table)
         declared = load.append(self.spark.createDataFrame([], self.schemas[table]), rows)
-        if self.keys[table]:
-            self._write(self.with_period(declared, table), table, "append")
-        else:
-            self._write(declared.withColumn(LOAD, F.lit(load_id)), table, "overwrite")
+        keys = self.keys[table]
+        if not keys:
+            self._write(table, lambda version: (declared.withColumn(LOAD, F.lit(load_id)), [load_id]))
+            return
+        dated, compared = self.with_period(declared, table), self._compared.pop(table, None)
+
+        def still_new(version: Version) -> tuple[DataFrame, list[str]]:
+            if compared is None or compared == len(version.writes):
+                return dated, []
+            # What others wrote since the batch was compared with the table holds some of its keys, maybe.
+            later = self._rows(table, version, compared)
+            return load.rows_to_insert(later, dated, [PERIOD, *keys], keys), []
+
+        self._write(table, still_new)
 
     def replace(self, table: str, batch: DataFrame, order: list[str]) -> None:
-        """Insert or replace by key. Only the periods that the batch brings are written anew."""
+        """Insert or replace by key. Only the periods that the batch brings are written anew; readers see all of it or nothing."""
         keys = self.keys[table]
         if not keys:
             raise ValueError(f"table {table!r} has no key to replace by")
         dated = self.with_period(batch, table)
-        touched = self._stored(table).join(dated.select(PERIOD).distinct(), PERIOD, "left_semi")
-        self._write(load.insert_or_replace(touched, dated, [PERIOD, *keys], order), table, "overwrite")
+        periods = self._periods(dated)
+
+        def renewed(version: Version) -> tuple[DataFrame, list[str]]:
+            stored = self._rows(table, version)
+            touched = stored.filter(F.col(PERIOD).isin(*periods)) if periods else stored.limit(0)
+            return load.insert_or_replace(touched, dated, [PERIOD, *keys], order), periods
+
+        self._write(table, renewed)
