@@ -34,13 +34,18 @@ def missing_required(registry: Registry, schema_name: Column | str) -> Column:
     return missing
 
 
+def no_match(attempted: Iterable[str]) -> str:
+    """Why a file that no schema's keywords are found in is skipped; ``attempted``: names of the schemas in their order."""
+    return f"no schema matches the content; tried: {', '.join(attempted) or 'none'}"
+
+
 # Checks of one file or archive member in the order they count: condition, state, reason.
-def _checks() -> list[tuple[Column, str, Column]]:
+def _checks(attempted: Iterable[str]) -> list[tuple[Column, str, Column]]:
     c = F.col
     return [
         (c("error").isNotNull(), ERROR, c("error")),
         (c("n_bytes") == 0, SKIPPED, F.lit("file is empty")),
-        (c("schema_name").isNull(), SKIPPED, F.lit("no schema matches the content")),
+        (c("schema_name").isNull(), SKIPPED, F.lit(no_match(attempted))),
         (c("decode_error").isNotNull(), ERROR, c("decode_error")),
         (c("rows_source") == 0, ERROR, F.lit("no data rows")),
         (~c("has_columns"), ERROR, F.concat(F.lit("no columns declared for schema "), c("schema_name"))),
@@ -51,27 +56,27 @@ def _checks() -> list[tuple[Column, str, Column]]:
 
 def parse_status() -> Column:
     status = F.lit(SUCCESS)
-    for condition, state, _ in reversed(_checks()):
+    for condition, state, _ in reversed(_checks(())):
         status = F.when(condition, F.lit(state)).otherwise(status)
     return status
 
 
-def parse_reason() -> Column:
+def parse_reason(attempted: Iterable[str] = ()) -> Column:
     reason = F.lit(None).cast("string")
-    for condition, _, text in reversed(_checks()):
+    for condition, _, text in reversed(_checks(attempted)):
         reason = F.when(condition, text).otherwise(reason)
     return reason
 
 
-def member_outcomes(members: DataFrame) -> DataFrame:
-    """State of every plain file and archive member, from its facts.
+def member_outcomes(members: DataFrame, attempted: Iterable[str] = ()) -> DataFrame:
+    """State of every plain file and archive member, from its facts; ``attempted``: the schemas that their contents were compared with.
 
     Needs ``error, n_bytes, schema_name, decode_error, rows_source, has_columns, has_target, missing_required`` and
     the counts ``rows_valid`` and ``rows_quarantined``, which only stay for members that were parsed.
     """
     parsed = F.col("parse_status") == SUCCESS
     return (
-        members.withColumns({"parse_status": parse_status(), "parse_reason": parse_reason()})
+        members.withColumns({"parse_status": parse_status(), "parse_reason": parse_reason(attempted)})
         .withColumns(
             {c: F.when(parsed, F.col(c)).otherwise(F.lit(0)) for c in ("rows_source", "rows_valid", "rows_quarantined")}
         )

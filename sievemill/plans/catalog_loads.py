@@ -281,10 +281,12 @@ MEMBER_FACTS = f"""(SELECT *, CASE
       FROM {ORDER_ROWS}
       GROUP BY file_name, is_archive, member_no, display_name, n_bytes, error, decode_error, schema_name, has_columns, has_target))"""
 
+NO_MATCH = outcomes.no_match(build_registry().schemas)
+
 PARSED_MEMBERS = f"""(SELECT *, CASE WHEN parse_reason IS NULL THEN 'success'
-        WHEN parse_reason IN ('file is empty', 'no schema matches the content') THEN 'skipped' ELSE 'error' END AS parse_status
+        WHEN parse_reason IN ('file is empty', '{NO_MATCH}') THEN 'skipped' ELSE 'error' END AS parse_status
     FROM (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN n_bytes = 0 THEN 'file is empty'
-        WHEN schema_name IS NULL THEN 'no schema matches the content' WHEN decode_error IS NOT NULL THEN decode_error
+        WHEN schema_name IS NULL THEN '{NO_MATCH}' WHEN decode_error IS NOT NULL THEN decode_error
         WHEN rows_found = 0 THEN 'no data rows' WHEN NOT has_columns THEN 'no columns declared for schema ' || schema_name
         WHEN NOT has_target THEN 'no header name belongs to schema ' || schema_name
         WHEN missing_required IS NOT NULL THEN 'required columns are empty: ' || missing_required END AS parse_reason
@@ -314,7 +316,8 @@ def checked_orders(spark, sf):
 
 
 def members_of(checked: DataFrame) -> DataFrame:
-    return outcomes.member_outcomes(member_facts(checked, build_registry()))
+    registry = build_registry()
+    return outcomes.member_outcomes(member_facts(checked, registry), registry.schemas)
 
 
 def members(spark, sf):

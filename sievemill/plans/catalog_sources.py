@@ -15,7 +15,9 @@ from sievemill.operators import normalize
 from sievemill.operators.tables import Warehouse
 from sievemill.plans.catalog_quality import table
 from sievemill.registry import ColumnSpec, Registry, SchemaSpec, build_registry
-from sievemill.session import fill_cores, shared_folder
+from sievemill.operators import load
+from sievemill.session import fill_cores, shared_folder, write_and_reread
+from sievemill.sources import split_scan
 from sievemill.sources.files import hash_files, list_files, only_targets
 from sievemill.sources.members import read_members
 
@@ -161,6 +163,22 @@ def hashes(spark, sf):
     )
 
 
+def scratch_folder(spark) -> str:
+    home = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    return f"{home}/{uuid.uuid4().hex}"
+
+
+def large_csv(spark, sf):
+    """Documents written as CSV files with quoted line breaks, listed, and read in splits as files beyond any size are."""
+    folder = scratch_folder(spark)
+    columns = F.col("doc_id").cast("string").alias("doc_id"), "text", "lang"
+    documents(spark, sf).select(*columns).write.options(header=True, quoteAll=True, escape='"').csv(f"{folder}/files")
+    surveyed = write_and_reread(split_scan.survey(list_files(spark, f"{folder}/files")), folder)
+    chunks = split_scan.read_splits(surveyed.filter("in_splits"), folder)
+    fields = chunks.select(F.explode("records").alias("record")).select(csv_fields("record").alias("f"))
+    return fields.select(F.get("f", F.lit(0)).cast("bigint").alias("doc_id"), F.get("f", F.lit(1)).alias("text"), F.get("f", F.lit(2)).alias("lang"))
+
+
 # --- listings -------------------------------------------------------------------------------------------------------
 
 
@@ -320,8 +338,7 @@ CREATED = {"trading_date": "o_orderdate", "product_id": "o_orderkey", "option_ty
 
 def created_from_schema(spark, sf):
     """A fact table made from its declaration, with orders written to it, as it is read back."""
-    folder = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
-    house = Warehouse(spark, f"{folder}/{uuid.uuid4().hex}", build_registry())
+    house = Warehouse(spark, scratch_folder(spark), build_registry())
     spec = daily_spec()
     house.create(spec.table)
     types = {f.name: f.dataType for f in spec.struct.fields}
@@ -335,7 +352,33 @@ CREATED_FROM_SCHEMA = "SELECT {} FROM orders".format(
 )
 
 
+PRICED = ["trading_date", "product_id", "close"]
+
+
+def versioned_replace(spark, sf):
+    """Orders inserted by date and customer, then those still open replaced by key at half their price: two versions of a table."""
+    house, spec = Warehouse(spark, scratch_folder(spark), build_registry()), daily_spec()
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").alias("trading_date"), F.col("o_custkey").cast("string").alias("product_id"),
+        F.lit("").alias("expiry_month"), F.lit(0.0).alias("strike_price"), F.lit("").alias("option_type"),
+        F.col("o_totalprice").alias("close"), "o_orderkey", "o_orderstatus",
+    )
+    house.append(spec.table, load.first_per_key(orders, house.keys[spec.table], ["o_orderkey"]), "all")
+    still_open = orders.filter("o_orderstatus = 'O'").withColumn("close", F.col("close") / 2)
+    house.replace(spec.table, still_open, ["o_orderkey"])
+    return house.read(spec.table).select(*PRICED)
+
+
+VERSIONED_REPLACE = """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS trading_date, CAST(o_custkey AS VARCHAR) AS product_id, * FROM orders),
+    firsts AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY trading_date, product_id ORDER BY o_orderkey) = 1),
+    lasts AS (SELECT * FROM o WHERE o_orderstatus = 'O' QUALIFY row_number() OVER (PARTITION BY trading_date, product_id ORDER BY o_orderkey DESC) = 1)
+    SELECT trading_date, product_id, o_totalprice / 2 AS close FROM lasts
+    UNION ALL SELECT trading_date, product_id, o_totalprice FROM firsts ANTI JOIN lasts USING (trading_date, product_id)"""
+
+
 QUERIES = {
+    "src_large_csv": (large_csv, "SELECT doc_id, text, lang FROM documents"),
+    "load_replace_versions": (versioned_replace, VERSIONED_REPLACE),
     "src_file_listing": (
         file_listing,
         """SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name, octet_length(encode(html)) AS length FROM pages""",

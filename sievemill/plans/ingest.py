@@ -27,7 +27,7 @@ from sievemill.operators.tables import LEDGER_TABLE, Warehouse
 from sievemill.registry import Registry, SchemaSpec, build_registry
 from sievemill.session import shared_folder, write_and_reread
 from sievemill.sources import split_scan
-from sievemill.sources.files import hash_files, list_files, only_targets, with_empty_files
+from sievemill.sources.files import hash_files, is_hidden, list_files, only_targets, with_empty_files, with_hidden_files
 from sievemill.sources.members import read_members
 
 IGNORE, REPLACE = "IGNORE", "REPLACE"
@@ -179,6 +179,7 @@ def _contents(files: DataFrame, hashed: DataFrame) -> DataFrame:
 
 def read_large(large: DataFrame, scratch: str) -> DataFrame:
     """Chunks of records of surveyed files: plain ones in splits, archives and files of endless lines each by one task."""
+    large = large.withColumn("in_splits", F.col("in_splits") & ~is_hidden(F.col("file_name")))
     opened = split_scan.read_opened(large.filter("error IS NULL AND NOT in_splits")).repartition("path", "member_no", "chunk_no")
     failed = large.filter("error IS NOT NULL").select("path", "content_hash", F.lit(False).alias("is_archive"), F.lit(0).alias("member_no"), F.col("length").alias("n_bytes"), "error")
     chunks = opened.unionByName(failed, allowMissingColumns=True)
@@ -238,7 +239,8 @@ def ingest_files(
     scratch = f"{shared_folder(spark, warehouse.root + '/_scratch')}/{run_id}"
 
     # Hashes first, without the contents, so that the join with the ledger moves narrow rows only. Large files are opened by tasks.
-    beyond = F.col("length") > split_above
+    # Hidden files, which Spark's readers would not hand out, are opened by path whatever their size.
+    beyond = (F.col("length") > split_above) | (is_hidden(F.col("file_name")) & (F.col("length") > 0))
     hashes = hash_files(files.filter(~beyond))
     large = None
     if not files.filter(beyond).select("path").isEmpty():
@@ -262,7 +264,7 @@ def ingest_files(
         checked.withColumn("_schema", F.coalesce("schema_name", F.lit(NO_SCHEMA))), scratch, ["_schema"]
     )
 
-    members = write_and_reread(outcomes.member_outcomes(member_facts(staged, registry)), scratch)
+    members = write_and_reread(outcomes.member_outcomes(member_facts(staged, registry), registry.schemas), scratch)
     # Refused members are few; their rows are taken out by a small anti-join.
     refused = members.filter(F.col("parse_status") != led.SUCCESS).select(*MEMBER)
     rows = staged.filter(F.col("row_no").isNotNull() & ~F.col("too_long")).join(refused, MEMBER, "left_anti")
@@ -334,4 +336,5 @@ def ingest_folder(
     files = list_files(spark, folder)
     if find_empty:
         files = with_empty_files(files, folder)
+    files = with_hidden_files(files, folder)
     return ingest_files(spark, only_targets(files, targets), warehouse, **options)

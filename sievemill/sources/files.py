@@ -19,13 +19,41 @@ def _index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
 
 
-def _is_in(url: Column, folder: str) -> Column:
-    """Whether the file at ``url`` lies directly in ``folder``; scheme and host may be missing from either."""
+def lies_in(path: Column, folder: str) -> Column:
+    """Whether the file at ``path`` lies directly in ``folder``; scheme and host may be missing from either."""
     place = re.sub(_SCHEME, "", folder).rstrip("/")
     if not place.startswith("/"):
         place = os.path.abspath(place)
-    decoded = F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, f"{_SCHEME}|/[^/]*$", "") == place
+    return F.regexp_replace(path, f"{_SCHEME}|/[^/]*$", "") == place
+
+
+def _is_in(url: Column, folder: str) -> Column:
+    return lies_in(F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B"))), folder)
+
+
+def is_hidden(file_name: Column) -> Column:
+    """Whether Spark's scans pass over a file for its name."""
+    return file_name.rlike("^[_.]")
+
+
+def with_hidden_files(files: DataFrame, folder: str) -> DataFrame:
+    """Adds the files whose names begin with _ or a dot, without their contents; tasks open them by path.
+
+    Only names of that kind are asked for, so what comes to the driver does not grow with the other files.
+    """
+    spark = files.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob_literal(folder.rstrip("/")) + "/[_.]*")
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place) or []
+    rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen(), b"" if s.getLen() == 0 else None) for s in found if s.isFile()]
+    if not rows:
+        return files
+    hidden = spark.createDataFrame(rows, "path string, file_name string, length long, content binary")
+    return files.unionByName(hidden, allowMissingColumns=True)
+
+
+def glob_literal(path: str) -> str:
+    """``path`` for readers that take patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.session import write_and_reread
+from sievemill.sources.files import glob_literal
 from sievemill.sources.members import (
     _SPARK_OUT,
     ENCODINGS,
@@ -283,8 +284,7 @@ def _scanned_name() -> Column:
 
 def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(line, file_name, block): bytes between line feeds, in the order of the file within each split, which ``block`` names."""
-    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
-    lines = spark.read.option("lineSep", "\n").text(literal)
+    lines = spark.read.option("lineSep", "\n").text([glob_literal(p) for p in paths])
     return lines.select(F.col("value").cast("binary").alias("line"), _scanned_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"))
 
 

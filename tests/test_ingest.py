@@ -186,3 +186,26 @@ def test_values_that_do_not_fit_their_type_are_quarantined(spark, put):
     reasons = {r[0] for r in house.read("quarantine_data").select("quarantine_reason").collect()}
     assert reasons == {"Column 'open': failed conversion to DOUBLE", "Column 'trading_date': failed conversion to DATE"}
     assert {r["product_id"] for r in house.read("quarantine_data").collect()} == {"0100", "T"}
+
+
+def test_hidden_and_empty_files_have_an_outcome(spark, put):
+    put("_x.csv", GOOD.replace("KLM", "UND"))
+    put(".x.csv", GOOD.replace("KLM", "DOT"))
+    put("_empty.csv", b"")
+    put(".a.zip", zipped(in__dot__csv=GOOD.replace("KLM", "ZIP")))
+    put("plain.csv", GOOD)
+    files = by_name(ingest_folder(spark, put.folder, put.root).files)
+    assert {n: (r["status"], r["rows_inserted"]) for n, r in files.items()} == {
+        "_x.csv": ("success", 2), ".x.csv": ("success", 2), "_empty.csv": ("skipped", 0), ".a.zip": ("success", 2), "plain.csv": ("success", 2),
+    }
+    again = by_name(ingest_folder(spark, put.folder, put.root).files)
+    assert again["_x.csv"]["message"] == again[".a.zip"]["message"] == "already ingested"
+
+
+def test_skip_reason_names_the_schemas(spark, put):
+    from sievemill.registry import build_registry as build
+
+    put("odd.csv", "nothing,known\n1,2\n")
+    registry = build({"only": {"keywords": ["zzz"], "db_table_name": "t", "columns_map": {"c": {"db_type": "VARCHAR"}}}, "other": {"keywords": ["yyy"], "db_table_name": "t"}})
+    files = by_name(ingest_folder(spark, put.folder, put.root, registry).files)
+    assert files["odd.csv"]["status"] == "skipped" and files["odd.csv"]["message"] == "no schema matches the content; tried: only, other"
