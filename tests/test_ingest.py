@@ -203,9 +203,8 @@ def test_hidden_and_empty_files_have_an_outcome(spark, put):
 
 
 def test_skip_reason_names_the_schemas(spark, put):
-    from sievemill.registry import build_registry as build
-
     put("odd.csv", "nothing,known\n1,2\n")
-    registry = build({"only": {"keywords": ["zzz"], "db_table_name": "t", "columns_map": {"c": {"db_type": "VARCHAR"}}}, "other": {"keywords": ["yyy"], "db_table_name": "t"}})
+    declared = {"columns_map": {"c": {"db_type": "VARCHAR"}}}
+    registry = build_registry({n: {"keywords": [n], "db_table_name": n, **declared} for n in ("only", "other")})
     files = by_name(ingest_folder(spark, put.folder, put.root, registry).files)
     assert files["odd.csv"]["status"] == "skipped" and files["odd.csv"]["message"] == "no schema matches the content; tried: only, other"
