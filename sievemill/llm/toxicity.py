@@ -30,7 +30,8 @@ INSULTS = frozenset(
 SECOND_PERSON = frozenset("you your yours yourself youre ya du dich dir dein deine ihr euch tu te ti toi ton ta vous votre usted ustedes tus vos".split())
 EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "¿¡«»„“”‘’…"
 DISGUISE = str.maketrans("013457@$!|*", "oieastasil*")
-DISGUISED = re.compile(r"[^\W\d_]+[0-9@$!|*.\-_]+[^\W\d_][\w@$!|*.\-]*|[@$0-9]+[^\W\d_][\w@$!|*]*")
+#: Runs are taken whole and only from their first character, so a long run of letters or figures is walked once.
+DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$!|*.\-_]++[^\W\d_][\w@$!|*.\-]*|(?<![@$0-9])[@$0-9]++[^\W\d_][\w@$!|*]*")
 REPEATED = re.compile(r"(\w)\1{2,}")
 NEAR = 5
 LEXICON_FOLDS = range(25)
