@@ -12,6 +12,7 @@ address with a disguised @, stand for forms that patterns miss, and dates, amoun
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,12 +40,23 @@ DISGUISED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[({] ?at ?[\])}] ?[A-Za-z0-9-
 #: What every match of DISGUISED holds; texts without it are spared the longer search.
 AT = re.compile(r"[\[({] ?at ?[\])}]", re.I)
 ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
-
-MOST_ATOMS, MOST_CHARS, LEAST_FIGURES = 40, 160, 7
+#: Atoms, joined by NUL, before the end of a disguised domain, and around a disguised @.
+DOT_BEFORE = re.compile(r"[^\W\d_]*dot\0(?: \0)?[\])}](?:\0 )?$", re.I)
+AT_BEFORE, AT_AFTER = re.compile(r"[\[({](?:\0 )?$"), re.compile(r"(?: \0)?[\])}]")
+
+#: A candidate without an @, or one disguised, has this many figures; no card, phone or ip has more.
+LEAST_FIGURES, MOST_FIGURES = 7, 19
+MOST_ATOMS, MOST_CHARS = 40, 160
+#: So many first atoms have their candidates made at a time.
+PIECE = 2_048
 #: Stretches that weights are learned from, of each kind those whose text has the smallest hash; the driver gets at most so many of each kind.
 STRETCHES = 1_500
 PLACES = 1 << 12
-FEATURES = 18
+FIGURE = "0123456789"
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+#: For hashes of the sizes of up to eight groups.
+BASE = 0x9E3779B1
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def luhn(figures: str) -> bool:
@@ -126,39 +138,135 @@ def stretches(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 # --- candidates and their features ------------------------------------------------------------------------------------
 
 
-def place(*what) -> int:
-    value = 2166136261
-    for c in repr(what):
-        value = (value ^ ord(c)) * 16777619 & 0xFFFFFFFF
-    return value % PLACES
-
-
-def surrounding(char: str) -> str:
-    if not char:
-        return "edge"
-    return "space" if char.isspace() else "figure" if char.isdigit() else "letter" if char.isalpha() else char
-
-
-def features(span: str, before: str, after: str) -> list[int]:
-    groups, figures = re.findall(r"[0-9]+", span), only_figures(span)
-    signs = "".join(sorted(set(re.sub(r"[\w\s]", "", span))))
-    sizes = tuple(map(len, groups)) if len(groups) <= 8 else "many"
-    letters = sum(c.isalpha() for c in span)
-    named = [
-        ("figures", min(len(figures), 21)), ("sizes", sizes), ("groups", min(len(groups), 9)), ("signs", signs), ("plus", span[0] == "+"),
-        ("brackets", "(" in span), ("letters", min(letters, 3), len(figures) > 8), ("spaces", min(span.count(" "), 5)),
-        ("luhn", 13 <= len(figures) <= 19 and luhn(figures), len(figures) in range(13, 20)),
-        ("octets", len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups), span.count(".")),
-        ("at", span.count("@"), bool(AT.search(span))), ("dot", bool(re.search(r"\.[A-Za-z]{2,}$|(?i:dot) ?[\])}] ?[A-Za-z]{2,}$", span))),
-        ("first", surrounding(span[0])), ("last", surrounding(span[-1])), ("before", surrounding(before)), ("after", surrounding(after)),
-        ("around", surrounding(before), surrounding(span[0])), ("bias",),
-    ]
-    return [place(*f) for f in named]
+def surrounding(char: str) -> int:
+    """What kind of character it is: none 0, space 1, figure 2, letter 3, any other by itself."""
+    return 0 if not char else 1 if char.isspace() else 2 if char.isdigit() else 3 if char.isalpha() else 4 + ord(char)
+
+
+def places(name: int, *values: np.ndarray) -> np.ndarray:
+    """The places of a feature's values: their hashes by name, modulo PLACES."""
+    value = np.full(len(values[0]), name + 1, np.uint64)
+    for v in values:
+        value = (value ^ v.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(32)
+        value *= np.uint64(0xD6E8FEB86659FD93)
+        value ^= value >> np.uint64(32)
+    return (value % np.uint64(PLACES)).astype(np.int64)
+
+
+def since_start(values) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(np.array(values, np.int64))])
+
+
+class Atoms:
+    """Arrays over the atoms of some stretches of a text, from which the features of any run of atoms follow in a few steps."""
+
+    def __init__(self, text: str, pieces: list[tuple[int, int]]):
+        cut = [ATOM.findall(text[a:b]) for a, b in pieces]
+        atoms = [a for piece in cut for a in piece]
+        count = np.array([len(piece) for piece in cut], np.int64)
+        # What is true of an atom by itself is worked out once for equal ones.
+        number: dict[str, int] = {}
+        which = np.fromiter((number.setdefault(a, len(number)) for a in atoms), np.int64, len(atoms))
+
+        def each(value, kind=np.int64) -> np.ndarray:
+            return np.array([value(a) for a in number], kind)[which]
+
+        self.piece = np.repeat(np.arange(len(pieces)), count)
+        size, heads = each(len), since_start(count)
+        begun = since_start(size)
+        offset = np.array([a for a, _ in pieces], np.int64) - begun[heads[:-1]]
+        self.start = begun[:-1] + offset[self.piece]
+        self.end = self.start + size
+
+        figure = each(lambda a: len(a) if a[0] in FIGURE else 0)
+        digits = np.frombuffer("".join([a for a in atoms if a[0] in FIGURE]).encode(), np.uint8).astype(np.int64) - 48
+        doubled, odd = 2 * digits - 9 * (digits > 4), np.arange(len(digits)) % 2 == 1
+        # Sums of figures, those at even places doubled, and those at odd ones.
+        self.luhn = [since_start(np.where(odd, digits, doubled)), since_start(np.where(odd, doubled, digits))]
+        self.figures, self.groups = since_start(figure), since_start(figure > 0)
+        self.large = since_start(each(lambda a: a[0] in FIGURE and (len(a) > 3 or int(a) > 255)))
+        lengths = figure[figure > 0].astype(np.uint64)
+        self.power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(lengths), BASE, np.uint64)]))
+        backwards = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(lengths), INVERSE, np.uint64)]))
+        self.sizes = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lengths * backwards[:-1])])
+        self.letters = since_start(each(lambda a: 0 if a[0] in FIGURE else sum(map(str.isalpha, a))))
+        self.spaces, self.dots, self.ats = (since_start(each(lambda a, c=c: a.count(c))) for c in " .@")
+        self.at_words = since_start(each(lambda a: a == "@" or a.lower() == "at"))
+        self.signs = each(lambda a: 1 << SIGNS.find(a) if a in SIGNS else 0 if a[0].isspace() or a[0].isalnum() or a == "_" else 1 << len(SIGNS))
+        self.blank, self.closes = each(str.isspace, bool), each(lambda a: a[0].isalnum(), bool)
+        self.plus = each(lambda a: a == "+", bool)
+        self.first, self.last = (each(lambda a, k=k: surrounding(a[k])) for k in (0, -1))
+        self.before, self.after = np.append(0, self.last)[: len(atoms)], np.append(self.first, 0)[1:]
+        full = np.flatnonzero(count)
+        self.before[heads[full]] = [surrounding(text[pieces[k][0] - 1] if pieces[k][0] else "") for k in full]
+        self.after[heads[full + 1] - 1] = [surrounding(text[pieces[k][1] : pieces[k][1] + 1]) for k in full]
+        # By last atom: the first atom of a disguised @ that ends there, and of a domain's ending; -1 for none.
+        self.at_from, self.dot_from = np.full(len(atoms), -1), np.full(len(atoms), -1)
+        for k in np.flatnonzero(each(lambda a: len(a) > 1 and a.isascii() and a.isalpha(), bool)).tolist():
+            own = atoms[heads[self.piece[k]] : k] if k - heads[self.piece[k]] < 5 else atoms[k - 5 : k]
+            if own and own[-1] == ".":
+                self.dot_from[k] = k - 1
+            elif m := DOT_BEFORE.search("\0".join(own)):
+                self.dot_from[k] = k - 1 - m[0].count("\0")
+            if atoms[k].lower() == "at" and (m := AT_BEFORE.search("\0".join(own))):
+                rest = atoms[k + 1 : min(k + 3, heads[self.piece[k] + 1])]
+                if n := AT_AFTER.match("\0".join(rest)):
+                    self.at_from[k + 1 + n[0].count("\0")] = k - 1 - m[0].count("\0")
+
+    def __len__(self) -> int:
+        return len(self.blank)
+
+    def candidates(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first atoms, atoms after the last, features) of the candidates that begin at atoms low to high - 1, in that order."""
+        found, start = [], low + np.flatnonzero(~self.blank[low:high])
+        signs, at, dotted = np.zeros(len(start), np.int64), np.zeros(len(start), bool), np.zeros(len(start), bool)
+        for width in range(1, MOST_ATOMS + 1):
+            last = start + width - 1
+            inside = self.piece[np.minimum(last, len(self) - 1)] == self.piece[start]
+            inside &= last < len(self)
+            if not inside.all():
+                start, last, signs, at = start[inside], last[inside], signs[inside], at[inside]
+            if not len(start):
+                break
+            signs, at = signs | self.signs[last], at | (self.at_from[last] >= start)
+            figures, fits = self.figures[last + 1] - self.figures[start], self.end[last] - self.start[start] <= MOST_CHARS
+            has_at = self.at_words[last + 1] > self.at_words[start]
+            enough = (figures >= LEAST_FIGURES) & (figures <= MOST_FIGURES) | has_at | (figures >= 4) & (figures <= MOST_FIGURES) & (width > 6)
+            good = np.flatnonzero(fits & enough & self.closes[last])
+            dotted = self.dot_from[last] >= start
+            found.append((start[good], last[good] + 1, signs[good], at[good], dotted[good]))
+            more = fits & ((figures <= MOST_FIGURES) | has_at)
+            # A run that is too long or has too many figures stays so, but for an @ that may follow.
+            more |= fits & (self.at_words[np.minimum(start + MOST_ATOMS, len(self))] > self.at_words[start])
+            start, signs, at = start[more], signs[more], at[more]
+        first, after, signs, at, dotted = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 5
+        order = np.lexsort((after, first))
+        first, after, signs, at, dotted = first[order], after[order], signs[order], at[order], dotted[order]
+        return first, after, self.features(first, after, signs, at, dotted)
+
+    def features(self, i: np.ndarray, j: np.ndarray, signs: np.ndarray, at: np.ndarray, dotted: np.ndarray) -> np.ndarray:
+        def inside(sums: np.ndarray) -> np.ndarray:
+            return sums[j] - sums[i]
+
+        figures, groups, letters = inside(self.figures), inside(self.groups), inside(self.letters)
+        few = groups <= 8
+        sizes = (self.sizes[self.groups[j]] - self.sizes[self.groups[i]]) * self.power[self.groups[i]]
+        in_luhn = np.where(self.figures[j] % 2 == 0, *(s[self.figures[j]] - s[self.figures[i]] for s in self.luhn))
+        card = (figures >= 13) & (figures <= 19)
+        first, last, before, after = self.first[i], self.last[j - 1], self.before[i], self.after[j - 1]
+        named = [
+            (np.minimum(figures, MOST_FIGURES + 2),), (np.where(few, sizes, np.uint64(0)), few), (np.minimum(groups, 9),), (signs,), (self.plus[i],),
+            (signs >> SIGNS.index("(") & 1,), (np.minimum(letters, 3), figures > 8), (np.minimum(inside(self.spaces), 5),),
+            (card & (in_luhn % 10 == 0), card), ((groups == 4) & (inside(self.large) == 0), np.minimum(inside(self.dots), 9)),
+            (np.minimum(inside(self.ats), 9), at), (dotted,), (first,), (last,), (before,), (after,), (before, first), (np.ones(len(i), bool),),
+        ]
+        return np.stack([places(k, *f) for k, f in enumerate(named)], axis=1)
 
 
 @dataclass
 class Lattice:
-    """Atoms of a stretch and the candidates among their runs: (first atom, atom after the last), features of each."""
+    """Ends of a stretch's atoms and the candidates among their runs: (first atom, atom after the last), features of each."""
 
     ends: list[int]
     candidates: list[tuple[int, int]]
@@ -166,69 +274,84 @@ class Lattice:
 
 
 def lattice(text: str, start: int, end: int) -> Lattice:
-    cuts = [start, *(start + m.end() for m in ATOM.finditer(text[start:end]))]
-    atoms = [text[a:b] for a, b in pairwise(cuts)]
-    candidates, rows = [], []
-    figures = [len(a) if a[0] in "0123456789" else 0 for a in atoms]
-    for i, atom in enumerate(atoms):
-        if atom.isspace():
-            continue
-        total, at = 0, False
-        for j in range(i, min(len(atoms), i + MOST_ATOMS)):
-            if cuts[j + 1] - cuts[i] > MOST_CHARS:
-                break
-            total += figures[j]
-            at = at or atoms[j] == "@" or atoms[j].lower() == "at"
-            if (total >= LEAST_FIGURES or at or total >= 4 and j - i >= 6) and atoms[j][0].isalnum():
-                candidates.append((i, j + 1))
-                rows.append(features(text[cuts[i] : cuts[j + 1]], text[cuts[i] - 1 : cuts[i]] if cuts[i] else "", text[cuts[j + 1] : cuts[j + 1] + 1]))
-    return Lattice(cuts[1:], candidates, np.array(rows, np.int64).reshape(len(rows), FEATURES))
+    atoms = Atoms(text, [(start, end)])
+    first, after, table = atoms.candidates(0, len(atoms))
+    return Lattice(atoms.end.tolist(), list(zip(first.tolist(), after.tolist())), table)
 
 
-def best_segments(lat: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
-    """(kind, first atom, atom after the last) of the segmentation of the largest score; atoms outside of entities score 0."""
-    n = len(lat.ends)
-    if not lat.candidates:
-        return []
-    scores = weights[:, lat.table].sum(2)  # kinds x candidates
-    kinds, values = scores.argmax(0), scores.max(0)
-    by_end: list[list[int]] = [[] for _ in range(n + 1)]
-    for c, (_, j) in enumerate(lat.candidates):
-        if values[c] > 0:
-            by_end[j].append(c)
-    best, back = np.zeros(n + 1), [-1] * (n + 1)
+def joint(n: int, first: list[int], after: list[int], kinds: list[int], values: list[float]) -> list[tuple[int, int, int]]:
+    """(kind, first atom, atom after the last) of the segmentation of the largest score, among candidates of positive score in order of their ends."""
+    best, back, c = [0.0] * (n + 1), [-1] * (n + 1), 0
     for j in range(1, n + 1):
-        best[j] = best[j - 1]
-        for c in by_end[j]:
-            if (v := best[lat.candidates[c][0]] + values[c]) > best[j]:
-                best[j], back[j] = v, c
+        top, by = best[j - 1], -1
+        while c < len(after) and after[c] == j:
+            if (v := best[first[c]] + values[c]) > top:
+                top, by = v, c
+            c += 1
+        best[j], back[j] = top, by
     out, j = [], n
     while j:
         if back[j] < 0:
             j -= 1
         else:
-            i, _ = lat.candidates[back[j]]
-            out.append((int(kinds[back[j]]), i, j))
-            j = i
+            out.append((kinds[back[j]], first[back[j]], j))
+            j = first[back[j]]
     return out[::-1]
 
 
+def positive(first: np.ndarray, after: np.ndarray, table: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First atoms, ends, kinds and scores of the candidates that one kind has a positive score for."""
+    scores = weights[:, table].sum(2)
+    values = scores.max(0)
+    good = np.flatnonzero(values > 0)
+    return first[good], after[good], scores[:, good].argmax(0), values[good]
+
+
+def best_of(n: int, parts: list[tuple[np.ndarray, ...]]) -> list[tuple[int, int, int]]:
+    first, after, kinds, values = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((first, after))
+    return joint(n, first[order].tolist(), after[order].tolist(), kinds[order].tolist(), values[order].tolist())
+
+
+def best_segments(lat: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """(kind, first atom, atom after the last) of the segmentation of the largest score; atoms outside of entities score 0."""
+    if not lat.candidates:
+        return []
+    first, after = np.array(lat.candidates).T
+    return best_of(len(lat.ends), [positive(first, after, lat.table, weights)])
+
+
+def entities(text: str, pieces: list[tuple[int, int]], weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the best segmentation of some stretches of any length.
+
+    Candidates are made and scored for so many first atoms at a time; only those of a positive score stay, and the dynamic programming goes
+    over all of them.
+    """
+    atoms = Atoms(text, pieces)
+    parts = [positive(*atoms.candidates(low, min(len(atoms), low + PIECE)), weights) for low in range(0, len(atoms), PIECE)]
+    return [(kind, int(atoms.start[i]), int(atoms.end[j - 1])) for kind, i, j in best_of(len(atoms), parts)] if parts else []
+
+
+def log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum([math.exp(v - top) for v in values])) if len(values) > 1 else top
+
+
 def expected(lat: Lattice, scores: np.ndarray) -> tuple[float, np.ndarray]:
     """The log of the sum over all segmentations, and the chance of each candidate with each kind in one."""
     n = len(lat.ends)
-    forward, backward = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
-    forward[0] = backward[n] = 0
     by_end, by_start = [[] for _ in range(n + 1)], [[] for _ in range(n + 1)]
+    whole = np.logaddexp.reduce(scores, axis=0).tolist()
     for c, (i, j) in enumerate(lat.candidates):
-        by_end[j].append(c)
-        by_start[i].append(c)
-    whole = np.logaddexp.reduce(scores, axis=0)
+        by_end[j].append((i, whole[c]))
+        by_start[i].append((j, whole[c]))
+    forward, backward = [0.0] * (n + 1), [0.0] * (n + 1)
     for j in range(1, n + 1):
-        forward[j] = np.logaddexp.reduce([forward[j - 1], *(forward[lat.candidates[c][0]] + whole[c] for c in by_end[j])])
+        forward[j] = log_sum([forward[j - 1], *[forward[i] + v for i, v in by_end[j]]])
     for i in range(n - 1, -1, -1):
-        backward[i] = np.logaddexp.reduce([backward[i + 1], *(whole[c] + backward[lat.candidates[c][1]] for c in by_start[i])])
-    first, last = (np.array([c[k] for c in lat.candidates]) for k in (0, 1))
-    return forward[n], np.exp(np.minimum(forward[first] + scores + backward[last] - forward[n], 0))
+        backward[i] = log_sum([backward[i + 1], *[v + backward[j] for j, v in by_start[i]]])
+    outside = np.array([forward[i] + backward[j] - forward[n] for i, j in lat.candidates])
+    return forward[n], np.exp(np.minimum(scores + outside, 0))
 
 
 # --- learning ---------------------------------------------------------------------------------------------------------
@@ -282,26 +405,34 @@ def examples(contexts: list[str]) -> list[tuple[str, int, int, list[tuple[int, i
 
 def learn(contexts: list[str], rounds: int = 40, rate: float = 0.4, ridge: float = 0.02) -> np.ndarray:
     """Weights by kind and feature. Adaptive steps on the penalised likelihood of the segmentations."""
-    known = []
+    # Stretches of the same shape teach the same: they are worked out once, and count as often as there are of them.
+    known: dict[tuple, list] = {}
     for text, start, end, spans in examples(contexts):
         lat = lattice(text, start, end)
         if lat.candidates:
             at = {(lat.ends[i - 1] if i else start, lat.ends[j - 1]): c for c, (i, j) in enumerate(lat.candidates)}
             if all((a, b) in at for _, a, b in spans):
-                known.append((lat, [(k, at[a, b]) for k, a, b in spans]))
+                told = tuple((k, at[a, b]) for k, a, b in spans)
+                known.setdefault((len(lat.ends), tuple(lat.candidates), lat.table.tobytes(), told), [lat, told, 0])[2] += 1
+    lessons = list(known.values())
     weights, squares = np.zeros((len(KINDS), PLACES)), np.full((len(KINDS), PLACES), 1e-6)
-    for _ in range(rounds if known else 0):
-        slope = -ridge * weights
-        for lat, spans in known:
-            chance = -expected(lat, weights[:, lat.table].sum(2))[1]
+    if lessons:
+        table = np.concatenate([lat.table for lat, _, _ in lessons])
+        cuts = np.cumsum([len(lat.candidates) for lat, _, _ in lessons])[:-1]
+        told = np.zeros((len(KINDS), len(table)))
+        for at, (_, spans, times) in zip([0, *cuts], lessons):
             for k, c in spans:
-                chance[k, c] += 1
+                told[k, at + c] += times
+        for _ in range(rounds):
+            scores = np.split(weights[:, table].sum(2), cuts, axis=1)
+            chance = told - np.concatenate([times * expected(lat, s)[1] for (lat, _, times), s in zip(lessons, scores)], axis=1)
+            slope = -ridge * weights
             for k in range(len(KINDS)):
-                slope[k] += np.bincount(lat.table.ravel(), np.repeat(chance[k], lat.table.shape[1]), PLACES)
-        squares += slope * slope
-        weights += rate * slope / np.sqrt(squares)
+                slope[k] += np.bincount(table.ravel(), np.repeat(chance[k], table.shape[1]), PLACES)
+            squares += slope * slope
+            weights += rate * slope / np.sqrt(squares)
     # No entity was seen of a kind: nothing is known of it, and nothing is added.
-    seen = {k for _, spans in known for k, _ in spans}
+    seen = {k for _, spans, _ in lessons for k, _ in spans}
     weights[[k for k in range(len(KINDS)) if k not in seen]] = -1.0
     return weights
 
@@ -345,20 +476,18 @@ def fit(docs: DataFrame, text_col: str = "text", most: int = STRETCHES) -> np.nd
 def find(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(spans of the patterns, spans that the field adds); none of the latter overlaps one of the former."""
     runs = [*figure_runs(text)]
-    base, added = base_spans(text, runs), []
+    base, pieces = base_spans(text, runs), []
     taken, t = sorted((a, b) for _, a, b in base), 0
     for start, end in stretches(text, runs):
         # What the patterns took is taken: the field goes over what is left between.
-        pieces, at = [], start
+        at = start
         while t < len(taken) and taken[t][0] < end:
             pieces.append((at, taken[t][0]))
             at = max(at, taken[t][1])
             t += 1
-        for a, b in (*pieces, (at, end)):
-            if b - a >= LEAST_FIGURES:
-                lat = lattice(text, a, b)
-                added += [(kind, lat.ends[i - 1] if i else a, lat.ends[j - 1]) for kind, i, j in best_segments(lat, weights)]
-    return base, sorted(added)
+        pieces.append((at, end))
+    pieces = [(a, b) for a, b in pieces if b - a >= LEAST_FIGURES]
+    return base, sorted(entities(text, pieces, weights)) if pieces else []
 
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])

@@ -1,6 +1,7 @@
 """Toxicity, quality, quality rules and personal data: on made-up corpora, awkward rows and empty tables."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -266,3 +267,56 @@ def test_personal_data_of_awkward_rows(edges, nothing, weights):
 @pytest.mark.parametrize("text", ["1" * 100_000, "a" * 100_000 + "@", "1.1." * 30_000, "@" * 30_000, "+" * 50_000 + "1"])
 def test_very_long_texts_are_read_whole(text, weights):
     assert personal_data.find(text, weights)[0] == ([] if "1.1" not in text else personal_data.find(text, weights)[0])
+
+
+def plain_features(span, before, after):
+    """What the features of a candidate say, spelt out for one span."""
+    groups, n = re.findall("[0-9]+", span), len(re.sub("[^0-9]", "", span))
+    letters = sum(c.isalpha() for c in span)
+    return [
+        min(n, 21), tuple(map(len, groups)) if len(groups) <= 8 else "many", min(len(groups), 9), "".join(sorted(set(re.sub(r"[\w\s]", "", span)))),
+        span[0] == "+", "(" in span, (min(letters, 3), n > 8), min(span.count(" "), 5), (13 <= n <= 19, 13 <= n <= 19 and personal_data.luhn(re.sub("[^0-9]", "", span))),
+        (len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups), min(span.count("."), 9)), (min(span.count("@"), 9), bool(personal_data.AT.search(span))),
+        bool(re.search(r"\.[A-Za-z]{2,}$|(?i:dot) ?[\])}] ?[A-Za-z]{2,}$", span)), *map(personal_data.surrounding, (span[0], span[-1], before, after)),
+    ]
+
+
+def test_features_say_what_the_span_says():
+    """Candidates of one stretch have the same place for a feature if, and but for chance only if, the plain feature is the same."""
+    rng, unlike = np.random.default_rng(5), 0
+    parts = ["[at]", "(at) ", "{ AT }", " [dot] ", "(DOT)", ".", "com", "é", "_", "x", "@", "+", "(", ")", "-", "  ", " ", "7", "12", "255", "256", "4111111111111111", "٣"]
+    for _ in range(150):
+        text = "".join(rng.choice(parts, 14))
+        lat, seen = personal_data.lattice(text, 1, len(text) - 1), {}
+        ends = [1, *lat.ends]
+        for (i, j), row in zip(lat.candidates, lat.table):
+            a, b = ends[i], ends[j]
+            assert personal_data.MOST_FIGURES >= sum(c in "0123456789" for c in text[a:b]) or "@" in text[a:b] or "at" in text[a:b].lower()
+            for k, value in enumerate(plain_features(text[a:b], text[a - 1 : a], text[b : b + 1])):
+                assert seen.setdefault((k, value), row[k]) == row[k], (text, text[a:b], k)
+        unlike += sum(len({v for (f, _), v in seen.items() if f == k}) < sum(f == k for f, _ in seen) for k in range(16))
+    assert unlike < 25  # chance: one in 4,096 for each pair of values
+
+
+def test_a_long_stretch_is_one_whatever_the_piece(weights, monkeypatch):
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(list("0123456789 .-()+"), 20_000)) + " joe.doe [at] example [dot] com " + "12.5 " * 3_000
+    whole = personal_data.find(text, weights)
+    monkeypatch.setattr(personal_data, "PIECE", 37)
+    assert personal_data.find(text, weights) == whole and whole[1]
+
+
+@pytest.mark.parametrize("unit", ["a", "1", "a-", "1.", "12.345 ", "2023-04-17 10:22:31, ", "idiot ", "+49 (30) 1234567 "])
+def test_texts_of_a_megabyte_take_seconds(unit, weights):
+    text = (unit * 1_000_000)[:1_000_000]
+    start = time.perf_counter()
+    personal_data.find(text, weights)
+    assert len(toxicity.features(text, frozenset())) == len(toxicity.NAMES)
+    assert time.perf_counter() - start < 40  # some seconds where nothing else runs; quadratic patterns took hours
+
+
+def test_disguised_words_are_those_of_the_plain_pattern():
+    plain = re.compile(r"[^\W\d_]+[0-9@$!|*.\-_]+[^\W\d_][\w@$!|*.\-]*|[@$0-9]+[^\W\d_][\w@$!|*]*")
+    rng = np.random.default_rng(9)
+    texts = ["".join(rng.choice(list("ab1@$!|*.-_ é٣²#"), int(rng.integers(0, 16)))) for _ in range(20_000)]
+    assert [t for t in texts if plain.findall(t) != toxicity.DISGUISED.findall(t)] == []
