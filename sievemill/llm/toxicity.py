@@ -206,7 +206,7 @@ def table_of(sample: DataFrame, learned: frozenset[str]) -> tuple[np.ndarray, np
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The model of a bounded labelled sample. Without any label it knows nothing but gives every text a score all the same."""
+    """The model of a bounded labelled sample. Without any label nothing is known to be toxic, and every text scores 0."""
     sample = labelled_sample(docs, labels, label_col, id_col, text_col)
     learned = learned_lexicon(sample)
     x, label, fold = table_of(sample, learned)
@@ -214,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     for part in range(PARTS):
         out = fold % PARTS == part
         margin[out] = boost(x[~out], label[~out]).margin(x[out])
-    return Model(learned, boost(x, label), isotonic(margin, label))
+    points = isotonic(margin, label) if len(label) else (np.zeros(1), np.zeros(1))
+    return Model(learned, boost(x, label), points)
 
 
 def score(text: Column, model: Model) -> Column:
