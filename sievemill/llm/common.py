@@ -20,6 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with so many underscores in front that no column of ``docs`` is called so, in whatever case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_but(docs: DataFrame, *names: str) -> list[str]:
+    """The columns of ``docs``, quoted, but for those called one of ``names`` in whatever case."""
+    left_out = {n.lower() for n in names}
+    return ["`" + c.replace("`", "``") + "`" for c in docs.columns if c.lower() not in left_out]
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the folder that all executors share, by application; the folder may go when the application has ended."""
     home = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import SPACES, ascii_lower, keyed, written
+from sievemill.llm.common import SPACES, ascii_lower, columns_but, free_names, keyed, written
 
 MIN_CHARS = 10
 #: Pieces that one line's documents are dealt to.
@@ -88,20 +88,24 @@ def kept_text(text: Column, keep: Column) -> Column:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with repeated lines gone from the text, all columns and rows kept; ``_lines`` holds (n_lines, n_dropped).
+def drop_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, out_col: str = "_lines"
+) -> DataFrame:
+    """``docs`` with repeated lines gone from the text, all columns and rows kept; ``out_col`` holds (n_lines, n_dropped).
 
     The key of a line is the line stripped of white space at both ends, A-Z lower-cased; keys of fewer than ``min_chars`` code points
     stay. Rows of one id count as one document. A null text comes back null, or empty text; a null id is larger than any other.
+    A column that is called ``out_col`` already gives way to it; other columns may have any name. An empty table gives no rows.
     """
+    key, found = free_names(docs, "_bitmap_of", "_bitmap")
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars).select(
-        F.struct(F.col("doc_id").alias("id"), "tid").alias("_bitmap_of"), F.struct("n_dropped", "keep").alias("_bitmap")
+        F.struct(F.col("doc_id").alias("id"), "tid").alias(key), F.struct("n_dropped", "keep").alias(found)
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     of = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("tid"))
-    joined = docs.join(bitmaps, (of["id"].eqNullSafe(F.col("_bitmap_of.id"))) & (of["tid"] == F.col("_bitmap_of.tid")), "left")
-    kept = F.when(F.col("_bitmap").isNull(), F.col(text_col)).otherwise(kept_text(text, F.col("_bitmap.keep")))
+    joined = docs.join(bitmaps, (of["id"].eqNullSafe(F.col(f"{key}.id"))) & (of["tid"] == F.col(f"{key}.tid")), "left")
+    kept = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(kept_text(text, F.col(f"{found}.keep")))
     counts = F.struct(
-        F.size(F.split(text, "\n")).cast("long").alias("n_lines"), F.coalesce(F.col("_bitmap.n_dropped"), F.lit(0)).cast("long").alias("n_dropped")
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"), F.coalesce(F.col(f"{found}.n_dropped"), F.lit(0)).cast("long").alias("n_dropped")
     )
-    return joined.select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns], counts.alias("_lines"))
+    return joined.select(*[kept.alias(text_col) if c == f"`{text_col}`" else F.col(c) for c in columns_but(docs, out_col)], counts.alias(out_col))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievemill.llm.common import written
+from sievemill.llm.common import columns_but, free_names, written
 
 #: Cost of a word's first, second and third use; convex, so uses spread evenly. Their number is the most often that a document is taken.
 COSTS = (0, 1, 3)
@@ -195,31 +195,35 @@ def swaps(narrow: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", weights: Sequence[float] = WEIGHTS, seed: int = SEED
-) -> tuple[DataFrame, Plan]:
-    """``docs`` with ``_mix``: (size, copies), and the plan. size is a document's words, copies how often the mix takes it, 0 to 3.
+    docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", weights: Sequence[float] = WEIGHTS, seed: int = SEED,
+    out_col: str = "_mix",
+) -> tuple[DataFrame, Plan]:
+    """``docs`` with ``out_col``: (size, copies), and the plan. size is a document's words, copies how often the mix takes it, 0 to 3.
 
     ``sources`` is an array of the sources a document belongs to; null in it is a source of its own, in none of them it is never taken.
     Documents without words (null, empty) have size 0 and come along like others. The order is a hash of seed, id and text, so reruns
     agree whatever the partitions. An empty table gives no rows.
+    A column that is called ``out_col`` already gives way to it; other columns may have any name.
     """
+    order, pattern, found = free_names(docs, "_order", "_pattern", "_plan")
     spark = docs.sparkSession
-    named = docs.select("*", F.struct(pattern_of(sources).alias("pattern"), hashed(docs, id_col, text_col, seed).alias("key")).alias("_order"))
-    narrow = written(named.select("_order.pattern", "_order.key", words_in(F.col(text_col)).alias("size")))
+    named = docs.select("*", F.struct(pattern_of(sources).alias("pattern"), hashed(docs, id_col, text_col, seed).alias("key")).alias(order))
+    narrow = written(named.select(f"{order}.pattern", f"{order}.key", words_in(F.col(text_col)).alias("size")))
     sums = narrow.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     made = plan([(r.pattern, r.n) for r in sums], weights)
     rows = spark.createDataFrame(made.patterns, "pattern string, whole long, part long")
     known = rows.join(stops(narrow, rows.where("part > 0").select("pattern", "part")), "pattern", "left")
-    known = known.select(F.col("pattern").alias("_pattern"), F.struct("whole", "part", "stop", "swap").alias("_plan"))
-    mixed = named.join(F.broadcast(known), F.col("_order.pattern") == F.col("_pattern"))  # MAX_PATTERNS rows at most
-    before_stop = F.coalesce(F.col("_order.key") <= F.col("_plan.stop"), F.lit(False))
-    swapped = F.col("_order.key").eqNullSafe(F.col("_plan.swap"))
-    copies = F.col("_plan.whole") + (before_stop != swapped).cast("long")
-    return mixed.select(*docs.columns, F.struct(words_in(F.col(text_col)).alias("size"), copies.alias("copies")).alias("_mix")), made
-
-
-def repeated(mixed: DataFrame) -> DataFrame:
-    """The mix itself: every document as often as it is taken."""
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int")))).drop("_copy", "_mix")
+    known = known.select(F.col("pattern").alias(pattern), F.struct("whole", "part", "stop", "swap").alias(found))
+    mixed = named.join(F.broadcast(known), F.col(f"{order}.pattern") == F.col(pattern))  # MAX_PATTERNS rows at most
+    before_stop = F.coalesce(F.col(f"{order}.key") <= F.col(f"{found}.stop"), F.lit(False))
+    swapped = F.col(f"{order}.key").eqNullSafe(F.col(f"{found}.swap"))
+    copies = F.col(f"{found}.whole") + (before_stop != swapped).cast("long")
+    return mixed.select(*columns_but(docs, out_col), F.struct(words_in(F.col(text_col)).alias("size"), copies.alias("copies")).alias(out_col)), made
+
+
+def repeated(mixed: DataFrame, out_col: str = "_mix") -> DataFrame:
+    """The mix itself: every document as often as it is taken, without ``out_col``."""
+    (copy,) = free_names(mixed, "_copy")
+    return mixed.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(f"{out_col}.copies").cast("int")))).drop(copy, out_col)

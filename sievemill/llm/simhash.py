@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sievemill.llm.common import once, written
+from sievemill.llm.common import free_names, once, written
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -273,13 +273,16 @@ def contracted(pairs: DataFrame) -> DataFrame:
     return out
 
 
-def with_components(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, print, part, component_id) of every row; part tells components apart, also those that share their smallest id or have none."""
-    prints = written(docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
+def with_components(prints: DataFrame) -> DataFrame:
+    """(doc_id, print, part, component_id) of every row of the written table ``prints`` (doc_id, print).
+
+    part tells components apart, also those that share their smallest id or have none.
+    """
     distinct = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     only = distinct.select("print")
-    replicated = only.mapInArrow(replicas(home_bitmap(only), 8 * partitions), "bucket int, kind tinyint, anchors binary, prints binary")
+    # The table is small and the work for each of its rows is not, so all cores get some.
+    replicated = only.repartition(partitions).mapInArrow(replicas(home_bitmap(only), 8 * partitions), "bucket int, kind tinyint, anchors binary, prints binary")
     by_bucket = replicated.repartition(partitions, "bucket").sortWithinPartitions("bucket", "kind")
     pairs = written(by_bucket.mapInArrow(links, "a long, b long").distinct())
     parts = contracted(pairs)
@@ -296,14 +299,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts without words (null, empty, blank) have fingerprint zero and are linked like any other. Rows all alike share a fingerprint.
     A null id is never the smallest unless its component has no other. An empty table gives no rows. Very long texts are hashed whole.
     """
-    return with_components(docs, id_col, text_col, shingle).drop("part")
+    prints = written(docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
+    return with_components(prints).drop("part")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row left of each component, that of the smallest id, then fingerprint; all columns stay. Rows all alike are one row."""
-    found = with_components(docs, id_col, text_col, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = found.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")).select(F.struct("doc_id", "print").alias("_stay"))
-    # The fingerprint tells apart rows that share an id but not their text.
-    own = docs.withColumn("_own", F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")))
-    same = (F.col("_own.print") == F.col("_stay.print")) & F.col("_own.doc_id").eqNullSafe(F.col("_stay.doc_id"))
-    return own.join(stay, same, "left_semi").dropDuplicates(["_own"]).drop("_own")
+    """``docs`` with one row left of each component, that of the smallest id, then fingerprint; all columns stay, whatever their names.
+
+    Rows all alike are one row, as are those that share id and fingerprint. A null id stays only where its component has no other. Null
+    and empty texts are one component. An empty table gives no rows.
+    """
+    (own,) = free_names(docs, "_own")
+    # Written with the fingerprints, which are worked out once; from here on rows travel as (id, fingerprint, place), and whole rows once.
+    rows = written(docs.select("*", F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")).alias(own)))
+    place = rows.metadataColumn("_metadata")
+    placed = rows.select(f"{own}.doc_id", f"{own}.print", F.struct(place["file_path"].alias("file"), place["row_index"].alias("row_no")).alias("place"))
+    found = with_components(placed.select("doc_id", "print")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = written(found.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")).select("doc_id", "print"))
+    same = (placed["print"] == stay["print"]) & placed["doc_id"].eqNullSafe(stay["doc_id"])
+    places = placed.join(stay, same, "left_semi").groupBy("doc_id", "print").agg(F.min("place").alias("place")).select("place")
+    chosen = written(places)
+    here = (place["file_path"] == chosen["place.file"]) & (place["row_index"] == chosen["place.row_no"])
+    return rows.join(chosen, here, "left_semi").drop(own)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sievemill.llm.common import keyed, word_list
+from sievemill.llm.common import columns_but, free_names, keyed, word_list
 
 WINDOW = 35
 CHUNK_WORDS = 1 << 20
@@ -239,16 +239,19 @@ def without(text: pa.Array, intervals: pa.Array) -> pa.Array:
     )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """All rows and columns of ``docs``, and ``_kept``: (n_words, n_removed, text left, words joined by a space).
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, out_col: str = "_kept"
+) -> DataFrame:
+    """All rows and columns of ``docs``, and ``out_col``: (n_words, n_removed, text left, words joined by a space).
 
     A word goes if a window that covers it also starts anywhere else, in the same document too. Null and empty texts, and those shorter
     than a window, lose nothing; rows all alike lose every word that a window covers; an empty table gives no rows. Ids are integers
-    or null.
+    or null. A column that is called ``out_col`` already gives way to it; other columns may have any name.
     """
+    key, spans = free_names(docs, "_intervals_of", "_intervals")
     found = repeated_intervals(docs, id_col, text_col, window).select(
-        F.struct(F.col("doc_id").alias("id"), "tid").alias("_intervals_of"), F.col("intervals").alias("_intervals")
+        F.struct(F.col("doc_id").alias("id"), "tid").alias(key), F.col("intervals").alias(spans)
     )
     tid = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("_intervals_of.id")) & (tid == F.col("_intervals_of.tid")), "left")
-    return joined.select(*docs.columns, without(F.col(text_col), F.col("_intervals")).alias("_kept"))
+    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col(f"{key}.id")) & (tid == F.col(f"{key}.tid")), "left")
+    return joined.select(*columns_but(docs, out_col), without(F.col(text_col), F.col(spans)).alias(out_col))
