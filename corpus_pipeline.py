@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.llm import bpe, line_dedup, mixing, simhash, toxicity
-from sievemill.llm.common import table, written
+from sievemill.llm.common import free_names, table, written
 
 #: The vocabulary file of the last stage; every executor has it at this path.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -15,29 +15,50 @@ TOXIC = 0.5
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated toxicity is below TOXIC."""
+    """Documents whose calibrated toxicity is below TOXIC.
+
+    A null text is scored as an empty one; rows all alike have the same score and stay or go together. Without labels all score 0
+    and stay. An empty table stays empty; columns may have any name.
+    """
+    (score,) = free_names(docs, "_toxicity")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_toxicity", toxicity.score(F.col("text"), model)).where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    return docs.withColumn(score, toxicity.score(F.col("text"), model)).where(F.col(score) < TOXIC).drop(score)
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that several documents share stay in the first of them; n_chars follows."""
-    kept = line_dedup.drop_repeated_lines(docs).drop("_lines")
+    """Lines that several documents share stay in the first of them; n_chars follows.
+
+    No row goes: a document that loses all its lines has an empty text. Null texts stay null, with n_chars null; rows of one id count as one
+    document, a null id is larger than any other. Columns may have any name.
+    """
+    (lines,) = free_names(docs, "_lines")
+    kept = line_dedup.drop_repeated_lines(docs, out_col=lines).drop(lines)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, that of the smallest id; one of a null id only where the group has no other.
+
+    Null, empty and blank texts are one group; rows all alike are one row. Columns may have any name.
+    """
     return simhash.one_of_each_group(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them, none to three times."""
-    return mixing.repeated(mixing.mix(docs, F.array("source"))[0])
+    """Documents as often as the mix of the sources takes them, none to three times.
+
+    A null source is a source of its own. Documents without words have size 0 and come along like others; rows all alike are taken or left
+    together. Columns may have any name.
+    """
+    (mix,) = free_names(docs, "_mix")
+    return mixing.repeated(mixing.mix(docs, F.array("source"), out_col=mix)[0], mix)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and what they are decoded to. Rows go to Python by the thousand: ids and decoded text come back with them."""
+    """Token ids of every document, and what they are decoded to: none and an empty text where the text is null, empty or blank.
+
+    One row for each row, also for rows all alike and null ids. Rows go to Python by the thousand: ids and decoded text come back with them.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     both = docs.select("doc_id", "lang", "source", bpe.round_trip(F.col("text"), VOCABULARY).alias("_both"))
     return both.select("doc_id", "lang", "source", F.size("_both.ids").cast("long").alias("n_tokens"), "_both.ids", "_both.decoded")
