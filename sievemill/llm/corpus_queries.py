@@ -89,8 +89,7 @@ def mix(spark, sf):
     """Every document with what the mix takes of it."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     mixed, plan = mixing.mix(docs, F.array("source"))
-    sources = spark.createDataFrame(plan.sources, "_source string, source_size long, target double")
-    joined = mixed.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source")))  # as many rows as patterns at most
+    joined = plan.with_targets(mixed, F.col("source"))
     return joined.select("doc_id", "_mix.size", "source_size", "target", (F.col("_mix.size") * F.col("_mix.copies")).alias("taken"))
 
 
