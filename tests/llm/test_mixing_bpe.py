@@ -86,6 +86,43 @@ def test_documents_of_several_sources(spark):
     assert abs(10 * sum(copies.values()) - min(wanted, 3000)) <= 20
 
 
+def test_many_sources_have_the_targets_of_few(spark):
+    """More sources than weights, sizes from nothing to many words, ceilings reached, a null one: as the plain function has it."""
+    rng = np.random.default_rng(5)
+    size = {None if s == 7 else f"s{s:04}é": int(rng.integers(0, 5)) if s % 3 else int(rng.integers(50, 400)) for s in range(2000)}
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(size.items())], "doc_id long, text string, source string")
+    plan = mixing.mix(docs, F.array("source"))[1]
+    want = mixing.targets(size)
+    assert {s: (n, t) for s, n, t in plan.sources} == {s: (n, pytest.approx(want[s])) for s, n in size.items()}
+    given = {r.pattern: (r.whole, r.part) for r in plan.patterns.collect()}
+    assert len(given) == 2000
+    for s, _, alone in [(r.source, r.size, r.pattern) for r in plan.source_table.collect()]:
+        assert sum(given[alone]) == 0 if not size[s] else given[alone][0] * size[s] + given[alone][1] == min(round(want[s]), 3 * size[s])
+
+
+def test_large_tables_of_patterns_give_the_same_mix(spark, monkeypatch):
+    """Beyond FEW patterns only the hot ones are broadcast; a source that holds a third of all, sources in common, rows in none."""
+    rng = np.random.default_rng(6)
+    member = [["hot"] if i % 3 == 0 else [] if i % 50 == 1 else sorted({f"s{x}" for x in rng.integers(0, 40, int(rng.integers(1, 3)))}) for i in range(1500)]
+    rows = [(i, "w " * int(rng.integers(0, 30)), m) for i, m in enumerate(member)] + [(5000, "w w", None), (5001, "w w w", [None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, member array<string>")
+
+    def taken():
+        mixed, plan = mixing.mix(docs, F.col("member"))
+        assert mixed.columns == [*docs.columns, "_mix"]
+        return {r.doc_id: (r._mix.size, r._mix.copies) for r in mixed.collect()}, plan
+
+    small, plan = taken()
+    assert plan.lookup.few and len(small) == len(rows) and small[5000] == (2, 0)
+    monkeypatch.setattr(mixing, "FEW", 3)
+    monkeypatch.setattr(mixing, "HOT", 20)
+    large, plan = taken()
+    assert not plan.lookup.few and plan.lookup.hot == ['["hot"]'] and large == small
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 5)
+    with pytest.raises(ValueError, match="several sources"):
+        taken()
+
+
 def test_mix_of_awkward_rows(edges, nothing):
     mixed, plan = mixing.mix(edges, F.array("source"))
     rows = mixed.collect()
