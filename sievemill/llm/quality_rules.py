@@ -1,8 +1,9 @@
 """Quality rules: lines that many documents of a host share are boilerplate; documents that are little else are rejected.
 
 Lines are normalised and hashed; Spark counts, for each host and hash, the distinct documents that hold the line. Lines above the limit
-count as removed, and a document is depleted if too few of its words are left. Exact copies of a text count as one document: they are
-for deduplication to judge, and must not make every line of a good text look like boilerplate.
+count as removed, and a document is depleted if too few of its words are left. Documents are told apart by text, so exact copies count
+as one: they are for deduplication to judge, and must not make every line of a good text look like boilerplate. ``by="row"`` tells them
+apart by id instead (rows of a null id by text), as suits a corpus without copies.
 """
 
 from __future__ import annotations
@@ -80,34 +81,38 @@ def line_table(docs: DataFrame, host_col: str, id_col: str, text_col: str) -> Da
     return lines.select("host", F.unhex(F.substring(F.sha2("line", 256), 1, 32)).alias("h"), "doc_id", "tid", "line_no", words)
 
 
-def frequent_lines(lines: DataFrame, limit: int = LIMIT) -> DataFrame:
+def frequent_lines(lines: DataFrame, limit: int = LIMIT, by: str = "text") -> DataFrame:
     """(host, h, n_documents) of lines in more than ``limit`` distinct documents of a host. Both sums combine within tasks first."""
-    held = lines.select("host", "h", "tid").distinct()
+    if by not in ("text", "row"):
+        raise ValueError(f"by is 'text' or 'row', not {by!r}")
+    document = F.col("tid") if by == "text" else F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("tid")))
+    held = lines.select("host", "h", document.alias("document")).distinct()
     return held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_documents")).where(F.col("n_documents") > limit)
 
 
-def boilerplate(lines: DataFrame, limit: int = LIMIT) -> DataFrame:
+def boilerplate(lines: DataFrame, limit: int = LIMIT, by: str = "text") -> DataFrame:
     """The rows of ``lines`` above the limit."""
-    found = frequent_lines(lines, limit).select(F.col("host").alias("_host"), F.col("h").alias("_h"))
+    found = frequent_lines(lines, limit, by).select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     return lines.join(found, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host"))).drop("_host", "_h")
 
 
 def without_boilerplate(
-    docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT
+    docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, by: str = "text"
 ) -> DataFrame:
     """(doc_id, tid, n_dropped, keep) of documents that lose lines, as bitmaps that line_dedup.kept_text applies to a text."""
-    return line_dedup.bitmaps(boilerplate(written(line_table(docs, host_col, id_col, text_col)), limit))
+    return line_dedup.bitmaps(boilerplate(written(line_table(docs, host_col, id_col, text_col)), limit, by))
 
 
 def judged(
-    docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, left: float = LEFT
-) -> DataFrame:
+    docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, left: float = LEFT,
+    by: str = "text",
+) -> DataFrame:
     """One row for each row of ``docs``: doc_id, the base counts, n_lost_words, base_failed, depleted, kept.
 
     A null text is empty: no words, so it fails the base rules. Rows without a host form a host of their own; rows of a null id are told
     apart by their text. Rows all alike get the same verdict. An empty table gives no rows. Lengths have no limit.
     """
-    lost = boilerplate(written(line_table(docs, host_col, id_col, text_col)), limit)
+    lost = boilerplate(written(line_table(docs, host_col, id_col, text_col)), limit, by)
     lost = lost.groupBy("doc_id", "tid", "line_no").agg(F.max("words").alias("words"))  # rows all alike lose a line once
     lost = lost.groupBy(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).agg(F.sum("words").alias("n_lost_words"))
     tid = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))

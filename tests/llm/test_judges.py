@@ -147,6 +147,18 @@ def test_boilerplate_rejects_and_copies_do_not(spark):
     assert judged(docs) == rules_expected(rows, quality_rules.LIMIT, quality_rules.LEFT)
     kept = {r.doc_id for r in quality_rules.judged(docs).where("kept").collect()}
     assert kept == {100 + i for i in range(40)}
+    # Told apart by id, copies make each other's lines boilerplate.
+    assert quality_rules.judged(docs, by="row").where("kept").count() == 0
+    with pytest.raises(ValueError, match="by is"):
+        quality_rules.judged(docs, by="id")
+
+
+def test_documents_of_null_ids_are_told_apart_by_text(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, f"{line}\nrest {i} {'x' * i}", "host") for i in range(4)] + [(1, f"{line}\nown", "host")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = quality_rules.frequent_lines(quality_rules.line_table(docs, "source", "doc_id", "text"), 1, by="row").collect()
+    assert [r.n_documents for r in found] == [5]  # four texts without an id and one id
 
 
 BASE = {
