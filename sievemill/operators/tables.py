@@ -5,7 +5,8 @@ The other tables are partitioned by load, and a load that is run again replaces
 
 Every write goes to a folder of its own and counts from the moment a version of the table names it (``versions``). So a table is never
 seen half written or half replaced, a reader stays with the version it began with, and of two writers the later one takes
-account of what the earlier one wrote.
+account of what the earlier one wrote: by key, and in tables without a key by the contents of the files that a load brought, which each
+write keeps beside its rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ LEDGER_TABLE = "ingest_ledger"
 PERIOD = "load_period"
 LOAD = "load_id"
 WRITE = "write_id"
+#: The column that says which file content a row is from, and the folder beside the tables that lists the contents of their writes.
+CONTENT, CONTENTS = "_content", "_contents"
 NO_DATE = "none"
 #: Writers that come between before a write gives up.
 TRIES = 20
@@ -87,6 +90,32 @@ class Warehouse:
         stored = self.spark.read.schema(self._layout(table)).parquet(self.path(table))
         return stored.filter(version.counts(F.col(WRITE), F.col(self._partition(table)), since)).drop(WRITE)
 
+    def _contents(self, table: str) -> str:
+        return f"{self.root}/{CONTENTS}/{table}"
+
+    def _held(self, table: str, version: Version) -> DataFrame | None:
+        """(content, load) of the writes that count, None if no write of the table has named any."""
+        if not self._log(table).holds(self._contents(table)):
+            return None
+        layout = T.StructType([T.StructField(c, T.StringType()) for c in (CONTENT, WRITE, LOAD)])
+        stored = self.spark.read.schema(layout).parquet(self._contents(table))
+        return stored.filter(version.counts(F.col(WRITE), F.col(LOAD))).drop(WRITE)
+
+    def contents_of(self, load_id: str) -> DataFrame | None:
+        """Contents whose rows a load has put into tables without a key; None if there are none."""
+        out = None
+        for table in (t for t, keys in self.keys.items() if not keys):
+            if (held := self._held(table, self._log(table).latest())) is not None:
+                mine = held.filter(F.col(LOAD) == load_id).select(CONTENT)
+                out = mine if out is None else out.unionByName(mine)
+        return None if out is None or out.isEmpty() else out.distinct()
+
+    def finished_loads(self) -> frozenset[str]:
+        """Loads that the ledger tells of. There are as many as writes of a table, which its versions list too."""
+        self.create(LEDGER_TABLE)
+        rows = self._rows(LEDGER_TABLE, self._log(LEDGER_TABLE).latest())
+        return frozenset(r[0] for r in rows.select(LOAD).distinct().collect())
+
     def _stored(self, table: str) -> DataFrame:
         self.create(table)
         return self._rows(table, self._log(table).latest())
@@ -103,6 +132,9 @@ class Warehouse:
         for _ in range(TRIES):
             version, write = log.latest(), uuid.uuid4().hex
             rows, gone = make(version)
+            if CONTENT in rows.columns:
+                brought = rows.select(CONTENT, partition).filter(F.col(CONTENT).isNotNull()).distinct()
+                brought.write.mode("errorifexists").partitionBy(partition).parquet(f"{self._contents(table)}/{WRITE}={write}")
             # Rebalancing keeps files of one partition few, and splits a partition that holds most of the rows.
             (
                 rows.select(*self.schemas[table].names, partition)
@@ -140,16 +172,35 @@ class Warehouse:
         dated = self.with_period(batch, table)
         return load.rows_to_insert(self.load_slice(table, dated), dated, [PERIOD, *keys], order).drop(PERIOD)
 
-    def append(self, table: str, rows: DataFrame, load_id: str) -> None:
+    def append(
+        self, table: str, rows: DataFrame, load_id: str, content: str | None = None, finished: frozenset[str] = frozenset()
+    ) -> DataFrame | None:
         """Add ``rows``; columns are matched by name, what the table does not declare is left out.
 
-        Run again with the same ``load_id`` it does not add the rows of an unkeyed table twice.
+        Run again with the same ``load_id`` it does not add the rows of an unkeyed table twice. ``content`` names a column that says which file
+        content a row of an unkeyed table is from: rows of a content that another load has brought by then are left out, unless that load
+        is one of ``finished``, which the caller knew of. The contents left out are returned, None if there are none.
         """
-        declared = load.append(self.spark.createDataFrame([], self.schemas[table]), rows)
-        keys = self.keys[table]
-        if not keys:
+        keys, layout = self.keys[table], self.schemas[table]
+        if not keys and content is not None:
+            rows, layout = rows.withColumnRenamed(content, CONTENT), T.StructType([*layout.fields, T.StructField(CONTENT, T.StringType())])
+        declared = load.append(self.spark.createDataFrame([], layout), rows)
+        if not keys and content is None:
             self._write(table, lambda version: (declared.withColumn(LOAD, F.lit(load_id)), [load_id]))
-            return
+            return None
+        if not keys:
+            taken: list[DataFrame | None] = []
+
+            def not_brought(version: Version) -> tuple[DataFrame, list[str]]:
+                held = self._held(table, version)
+                loads = set() if held is None else {r[0] for r in held.select(LOAD).distinct().collect()}
+                others = loads - finished - {load_id}
+                taken.append(held.filter(F.col(LOAD).isin(*others)).select(CONTENT).distinct() if others else None)
+                left = declared.join(taken[-1], CONTENT, "left_anti") if others else declared
+                return left.withColumn(LOAD, F.lit(load_id)), [load_id]
+
+            self._write(table, not_brought)
+            return taken[-1]
         dated, compared = self.with_period(declared, table), self._compared.pop(table, None)
 
         def still_new(version: Version) -> tuple[DataFrame, list[str]]:
@@ -160,6 +211,7 @@ class Warehouse:
             return load.rows_to_insert(later, dated, [PERIOD, *keys], keys), []
 
         self._write(table, still_new)
+        return None
 
     def replace(self, table: str, batch: DataFrame, order: list[str]) -> None:
         """Insert or replace by key. Only the periods that the batch brings are written anew; readers see all of it or nothing."""

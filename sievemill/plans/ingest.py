@@ -19,11 +19,12 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievemill.functions import base_name, clean_value, coerce_numeric, csv_fields, local_iso
 from sievemill.operators import ledger as led
 from sievemill.operators import load, normalize, outcomes, quality
-from sievemill.operators.tables import LEDGER_TABLE, Warehouse
+from sievemill.operators.tables import CONTENT, LEDGER_TABLE, Warehouse
 from sievemill.registry import Registry, SchemaSpec, build_registry
 from sievemill.session import shared_folder, write_and_reread
 from sievemill.sources import split_scan
@@ -229,15 +230,26 @@ def ingest_files(
     Rows, encodings, errors and identity of a file do not depend on its size. Files up to ``split_above`` bytes are read whole in one task, as a
     stream; the records of those larger than ``spread_above`` are shuffled to more tasks once they are cut. Larger files are opened by path,
     and plain ones among them read in splits by many tasks, quoted line breaks and all encodings included. Of files
-    with the same content the first by name is loaded. To resume a run that broke off, call it again with the same ``run_id``.
+    with the same content the first by name is loaded. To resume a run that broke off, call it again with the same ``run_id``. Of runs at the
+    same time that bring the same content, one loads its rows, also where the table has no key: the others skip them.
     """
     if conflict not in (IGNORE, REPLACE):
         raise ValueError(f"unknown conflict strategy {conflict!r}")
     registry = warehouse.registry
     started, clock = dt.datetime.now(dt.timezone.utc), time.perf_counter()
+    may_resume = run_id is not None
     run_id = run_id or f"exec_{started.astimezone(ZoneInfo(time_zone)):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
     scratch = f"{shared_folder(spark, warehouse.root + '/_scratch')}/{run_id}"
 
+    # Loads that end after this are not known from here on; what they bring is found when rows are added.
+    finished = warehouse.finished_loads()
+    ledger = warehouse.read(LEDGER_TABLE)
+    if may_resume and (mine := warehouse.contents_of(run_id)) is not None:
+        # A resumed run puts its rows in the place of those it added before, so it reads their files again whatever others say of them;
+        # what others have of these files in another table stays theirs.
+        ledger = ledger.join(mine.withColumnRenamed(CONTENT, "ledger_key"), "ledger_key", "left_anti")
+        finished = frozenset()
+
     # Hashes first, without the contents, so that the join with the ledger moves narrow rows only. Large files are opened by tasks.
     # Hidden files, which Spark's readers would not hand out, are opened by path whatever their size.
     beyond = (F.col("length") > split_above) | (is_hidden(F.col("file_name")) & (F.col("length") > 0))
@@ -246,7 +258,7 @@ def ingest_files(
     if not files.filter(beyond).select("path").isEmpty():
         large = write_and_reread(split_scan.survey(files.filter(beyond)), scratch)
         hashes = hashes.unionByName(large.select(*hashes.columns))
-    hashed = write_and_reread(mark_copies(led.mark_known(hashes, warehouse.read(LEDGER_TABLE), mode)), scratch)
+    hashed = write_and_reread(mark_copies(led.mark_known(hashes, ledger, mode)), scratch)
 
     fresh = _contents(files.filter(~beyond), hashed.filter(~beyond))
     # What a large archive holds is spread over the cluster chunk by chunk; all else is parsed where it is unpacked.
@@ -269,6 +281,8 @@ def ingest_files(
     refused = members.filter(F.col("parse_status") != led.SUCCESS).select(*MEMBER)
     rows = staged.filter(F.col("row_no").isNotNull() & ~F.col("too_long")).join(refused, MEMBER, "left_anti")
 
+    # A backfill takes all files again, whoever has brought them.
+    by_content = {"content": CONTENT, "finished": finished} if mode == led.NORMAL else {}
     inserted = []
     by_table: dict[str, list[SchemaSpec]] = {}
     for spec in registry.data_schemas:
@@ -278,7 +292,7 @@ def ingest_files(
         batch = None
         for spec in specs:
             mine = rows.filter((F.col("_schema") == spec.name) & F.col(quality.REASON).isNull())
-            typed = mine.select(*ORDER, *normalize.typed_columns(spec))
+            typed = mine.select(*ORDER, F.col("content_hash").alias(CONTENT), *normalize.typed_columns(spec))
             batch = typed if batch is None else batch.unionByName(typed, allowMissingColumns=True)
         if conflict == REPLACE and warehouse.keys[table]:
             new = load.last_per_key(batch, warehouse.keys[table], ORDER)
@@ -286,13 +300,17 @@ def ingest_files(
             warehouse.replace(table, new, ORDER)
         else:
             new = write_and_reread(warehouse.rows_to_insert(table, batch, ORDER), scratch)
-            warehouse.append(table, new, run_id)
+            taken = warehouse.append(table, new, run_id, **by_content)
+            if taken is not None:
+                new = new.join(taken, CONTENT, "left_anti")
         inserted.append(new.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_inserted")))
 
     quarantine = registry.schemas.get(registry.quarantine)
     if quarantine:
         bad = quality.quarantined_rows(rows, F.col("display_name"))
-        warehouse.append(quarantine.table, quality.in_quarantine_layout(bad, quarantine.struct), run_id)
+        layout = T.StructType([*quarantine.struct.fields, T.StructField(CONTENT, T.StringType())])
+        laid_out = quality.in_quarantine_layout(bad.withColumn(CONTENT, F.col("content_hash")), layout)
+        warehouse.append(quarantine.table, laid_out, run_id, **by_content)
 
     files_out = outcomes.roll_up(members, ["file_name", "content_hash"])
     per_file = None

@@ -171,6 +171,58 @@ def test_same_run_id_does_not_double_unkeyed_rows(spark, put):
     assert house.read("fact_weekly_report").count() == 4  # no key is enforced by default
 
 
+class Broken(Exception):
+    pass
+
+
+def test_two_runs_at_once_load_a_file_once(spark, put, monkeypatch):
+    """While the first run reads, a second one brings one of its two files, to a table without a key and to the quarantine."""
+    both = zipped(weekly__dot__csv=WEEKLY, mixed__dot__csv=MIXED)
+    put("both.zip", both)
+    put("other.csv", WEEKLY.replace("2023/11/15", "2023/11/22"))
+    house = Warehouse(spark, put.root, build_registry())
+    real, calls = Warehouse.append, []
+
+    def raced(self, table, *args, **options):
+        if not calls:
+            calls.append(table)
+            second = ingest_folder(spark, put.folder, put.root, targets="both.zip")
+            assert by_name(second.files)["both.zip"]["rows_inserted"] > 0
+        return real(self, table, *args, **options)
+
+    monkeypatch.setattr(Warehouse, "append", raced)
+    first = ingest_folder(spark, put.folder, put.root)
+    files = by_name(first.files)
+    assert house.read("fact_weekly_report").count() == 4
+    assert house.read("quarantine_data").count() == 2  # as many as one run refuses
+    assert files["both.zip"]["rows_inserted"] == 0 and files["other.csv"]["rows_inserted"] == 2
+    assert files["both.zip"]["rows_skipped"] == files["both.zip"]["rows_valid"]
+
+
+def test_a_run_that_breaks_off_leaves_no_row_twice(spark, put, monkeypatch):
+    """It breaks off after the facts and before the ledger; another run brings the file, then the first one is resumed."""
+    put("weekly.csv", WEEKLY)
+    house = Warehouse(spark, put.root, build_registry())
+    real = Warehouse.append
+
+    def broken(self, table, *args, **options):
+        if table == LEDGER_TABLE:
+            raise Broken
+        return real(self, table, *args, **options)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Warehouse, "append", broken)
+        with pytest.raises(Broken):
+            ingest_folder(spark, put.folder, put.root, run_id="run-1")
+    assert house.read("fact_weekly_report").count() == 2
+    other = by_name(ingest_folder(spark, put.folder, put.root).files)["weekly.csv"]
+    assert other["status"] == "success" and other["rows_inserted"] == 0
+    for _ in range(2):
+        ingest_folder(spark, put.folder, put.root, run_id="run-1")
+        assert house.read("fact_weekly_report").count() == 2
+    assert by_name(ingest_folder(spark, put.folder, put.root).files)["weekly.csv"]["status"] == "skipped"
+
+
 def test_no_fallback_schema_means_skipped(spark, put):
     put("x.csv", "a,b\n1,2\n")
     run = ingest_folder(spark, put.folder, put.root, build_registry(fallback=None))
