@@ -310,14 +310,17 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     and empty texts are one component. An empty table gives no rows.
     """
     (own,) = free_names(docs, "_own")
-    # Written with the fingerprints, which are worked out once; from here on rows travel as (id, fingerprint, place), and whole rows once.
-    rows = written(docs.select("*", F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print")).alias(own)))
-    place = rows.metadataColumn("_metadata")
-    placed = rows.select(f"{own}.doc_id", f"{own}.print", F.struct(place["file_path"].alias("file"), place["row_index"].alias("row_no")).alias("place"))
+    # Written with the fingerprints, which are worked out once, and a number of the row; from here on rows travel as (id, fingerprint, number).
+    known = F.struct(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), shingle).alias("print"), F.monotonically_increasing_id().alias("place"))
+    rows = written(docs.select("*", known.alias(own)))
+    placed = rows.select(f"{own}.*")
     found = with_components(placed.select("doc_id", "print")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = written(found.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print")).select("doc_id", "print"))
     same = (placed["print"] == stay["print"]) & placed["doc_id"].eqNullSafe(stay["doc_id"])
-    places = placed.join(stay, same, "left_semi").groupBy("doc_id", "print").agg(F.min("place").alias("place")).select("place")
-    chosen = written(places)
-    here = (place["file_path"] == chosen["place.file"]) & (place["row_index"] == chosen["place.row_no"])
+    places = placed.join(stay, same, "left_semi").groupBy("doc_id", "print").agg(F.min("place").alias("place"))
+    # One bit for each row, 64 to a word: a table so small that Spark broadcasts it, and whole rows are not shuffled.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    chosen = written(places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")))
+    place = F.col(f"{own}.place")
+    here = (F.shiftright(place, 6) == chosen["word"]) & (F.getbit(chosen["bits"], (place % 64).cast("int")) == 1)
     return rows.join(chosen, here, "left_semi").drop(own)

@@ -206,6 +206,19 @@ def test_one_row_stays_of_a_repeated_id(spark, doc_id):
     assert left[left[0] == far] == min(texts, key=lambda t: (p := print_expected(t)) - 2**64 * (p >= 2**63))
 
 
+def test_whole_rows_are_not_shuffled_to_keep_one_of_each_group(spark):
+    """The rows that stay are told by so small a table that it is broadcast, also where a list of them would be too large."""
+    rows = [(i % 19_000, " ".join(f"{i % 19_000}w{k}" for k in range(4))) for i in range(20_000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")
+    try:
+        left = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in left.collect()) == sorted({d for d, _ in rows})
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.exact_groups(nothing).count() == 0
     assert line_dedup.drop_repeated_lines(nothing).count() == 0
