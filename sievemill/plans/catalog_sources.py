@@ -274,6 +274,8 @@ def rename_aliases(spark, sf):
         ).alias("names"),
     )
     placed = files.select("l_returnflag", normalize.header_positions("names", spec).alias("positions"))
+    # Written, so that Spark knows how small the table of files is and broadcasts it; the rows of a file are then not dealt to one task.
+    placed = write_and_reread(placed, scratch_folder(spark))
     rows = fill_cores(table(spark, sf, "lineitem"), "l_orderkey").select(
         "l_orderkey",
         "l_linenumber",

@@ -6,6 +6,7 @@ from sievemill import Warehouse, build_registry, load_registry
 from sievemill.operators import outcomes
 from sievemill.operators.amounts import amount_features, derive_table, preview
 from sievemill.operators.versions import VersionLog
+from sievemill.plans import catalog_sources
 from sievemill.sources.files import list_files, only_targets, parse_targets, with_empty_files
 
 
@@ -174,3 +175,25 @@ def test_registry_from_files(tmp_path):
     assert registry.rules == {"default_daily": {"volume": {"min_value": 1}}} and registry.quarantine not in registry.schemas
     with pytest.raises(ValueError, match="unknown type"):
         build_registry({"a": {"columns_map": {"c": {"db_type": "MONEY"}}}})
+
+
+def test_rows_of_one_file_are_not_dealt_to_one_task(spark, tmp_path):
+    """Line items of few return flags meet the header positions where they lie."""
+    lines = spark.range(30_000).selectExpr(
+        "id l_orderkey", "1 l_linenumber", "if(id % 10 = 0, if(id % 20 = 0, null, 'A'), 'N') l_returnflag", "date'2024-02-01' l_shipdate",
+        "id l_partkey", "double(id) l_extendedprice", "double(1) l_quantity", "'O' l_linestatus",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "32k", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        named = catalog_sources.rename_aliases(spark, str(tmp_path))
+        plan = named._jdf.queryExecution().executedPlan().toString()
+        got = named.selectExpr("count(*)", "sum(l_orderkey)", "sum(bigint(product_id))", "min(trading_date)", "max(volume)").first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "hashpartitioning(l_returnflag" not in plan and "BroadcastHashJoin" in plan
+    total = sum(i for i in range(30_000) if i % 20)
+    assert tuple(got) == (28_500, total, total, "2024/02/01", "1000")
