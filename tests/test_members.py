@@ -4,10 +4,12 @@ import csv
 import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from sievemill.session import BATCH_SETTING
 from sievemill.sources import members
 
 
@@ -115,3 +117,30 @@ def test_empty_archive_is_an_error():
     zipfile.ZipFile(out, "w").close()
     (row,) = rows(out.getvalue())
     assert row["is_archive"] and row["error"] == "no CSV file in the archive"
+
+
+def test_files_come_to_python_in_small_batches(spark, monkeypatch):
+    """Not 64 MB at a time, which every worker would hold in several copies; a limit that was set stays."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([{"path": str(batch.nbytes)}], schema=members._OUT)
+
+    monkeypatch.setattr(members, "_expand", sizes)
+    spark.conf.unset(BATCH_SETTING)
+    files = spark.range(0, 40, 1, 1).selectExpr("string(id) path", "encode(repeat('x', 500000), 'UTF-8') content")
+    got = [int(r.path) for r in members.read_members(files).collect()]
+    assert sum(got) > 40 * 500_000 and max(got) < 6_000_000
+    spark.conf.set(BATCH_SETTING, "1m")
+    try:
+        assert max(int(r.path) for r in members.read_members(files).collect()) < 2_000_000
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
+def test_rows_leave_python_in_small_batches():
+    """Rows of texts are handed on by some 2 million characters."""
+    rows = [{"path": str(i), "records": ["x" * 100_000]} for i in range(100)]
+    got = list(members._batches(iter(rows)))
+    assert [p for b in got for p in b.column("path").to_pylist()] == [r["path"] for r in rows]
+    assert max(b.nbytes for b in got) < 3_000_000
