@@ -18,7 +18,7 @@ from sievemill.registry import ColumnSpec, Registry, SchemaSpec, build_registry
 from sievemill.operators import load
 from sievemill.session import fill_cores, shared_folder, write_and_reread
 from sievemill.sources import split_scan
-from sievemill.sources.files import hash_files, list_files, only_targets
+from sievemill.sources.files import list_files, only_targets
 from sievemill.sources.members import read_members
 
 BOM = "\ufeff"
@@ -189,8 +189,8 @@ def file_listing(spark, sf):
 
 
 def folder_listing(spark, sf):
-    """The files of the data folder itself, with their hashes."""
-    return hash_files(list_files(spark, sf)).select("file_name", "length", "content_hash")
+    """The files of the data folder itself, with their hashes, whatever their size."""
+    return split_scan.hash_all(list_files(spark, sf), scratch_folder(spark)).select("file_name", "length", "content_hash")
 
 
 TARGETS = " src1, src7 ,,src19,"

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.session import write_and_reread
-from sievemill.sources.files import glob_literal
+from sievemill.sources.files import glob_literal, hash_files
 from sievemill.sources.members import (
     _SPARK_OUT,
     ENCODINGS,
@@ -43,6 +43,8 @@ from sievemill.sources.members import (
     still_quoted,
 )
 
+# Files that are hashed from their content as Spark hands it out, whole; longer ones are streamed.
+WHOLE_BYTES = 64 << 20
 # A header, and a line as Spark hands it out, are to be no longer; files where one is are read by one task.
 HEADER_BYTES = 64 << 20
 LINE_BYTES = 256 << 20
@@ -55,6 +57,7 @@ SURVEY = pa.schema(
         ("in_splits", pa.bool_()), ("head", pa.string()), ("header", pa.binary()), ("error", pa.string()),
     ]
 )
+HASHES = pa.schema([SURVEY.field(n) for n in ("path", "file_name", "length", "content_hash")])
 FACTS = pa.schema(
     [("file_name", pa.string()), ("block", pa.int64()), ("problems", pa.list_(pa.string()))]
     + [(f"{what}_{state}", kind) for state in ("out", "in") for what, kind in (("ends_inside", pa.bool_()), ("records", pa.int64()))]
@@ -135,6 +138,39 @@ def survey(files: DataFrame) -> DataFrame:
     return files.select("path", "file_name", "length").mapInArrow(_survey, layout)
 
 
+def streamed_digest(path: str) -> str | None:
+    """SHA-256 of a file, read block by block; None where it can't be opened here."""
+    try:
+        with open_path(path) as stream:
+            return hashlib.file_digest(stream, "sha256").hexdigest()
+    except Exception:  # it is left to Spark's reader, which then says what is wrong
+        return None
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, name, length in zip(*(c.to_pylist() for c in batch.columns)):
+            yield _rows(HASHES, [(path, name, length, streamed_digest(path))])
+
+
+def hash_all(files: DataFrame, folder: str) -> DataFrame:
+    """``hash_files`` without a limit to the size of a file, which Spark's reader has at 2 GB.
+
+    A file beyond ``WHOLE_BYTES`` is streamed by one task, as SHA-256 takes the bytes in their order, and never held. Where tasks can't open
+    one, as in a store that only Spark can read, Spark hands out its content, up to 2 GB.
+    """
+    beyond = F.col("length") > WHOLE_BYTES
+    hashes, large = hash_files(files.filter(~beyond)), files.filter(beyond)
+    narrow = large.select("path", "file_name", "length")
+    if narrow.isEmpty():
+        return hashes
+    layout = "path string, file_name string, length long, content_hash string"
+    streamed = write_and_reread(narrow.mapInArrow(_digests, layout), folder)
+    unopened = streamed.filter("content_hash IS NULL").select("path")
+    hashes = hashes.unionByName(streamed.filter("content_hash IS NOT NULL"))
+    return hashes if unopened.isEmpty() else hashes.unionByName(hash_files(large.join(unopened, "path", "left_semi")))
+
+
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[dict]:
         for batch in batches:

@@ -13,6 +13,7 @@ from test_ingest import DAILY, by_name, put  # noqa: F401
 
 from sievemill import Warehouse, build_registry, ingest_folder
 from sievemill.functions import content_hash
+from sievemill.plans import catalog_sources
 from sievemill.session import write_and_reread
 from sievemill.sources import members, split_scan
 from sievemill.sources.files import list_files
@@ -223,3 +224,21 @@ def test_one_content_is_loaded_once_in_a_run(spark, put):  # noqa: F811
     assert files["a.csv"]["status"] == "success" and files["b.csv"]["message"] == "same content as a.csv"
     assert files["e1.csv"]["message"] == files["e2.csv"]["message"] != "already ingested"
     assert Warehouse(spark, put.root, build_registry()).read("fact_weekly_report").count() == 1
+
+
+@pytest.mark.parametrize("opens", [True, False])
+def test_large_files_are_hashed_block_by_block(spark, tmp_path, monkeypatch, opens):
+    """Beyond a size Spark hands out no content; where tasks can't open a file it does, as far as it can."""
+    contents = {"small.bin": b"x" * 500, "large 1%25.bin": bytes(range(256)) * 40, "empty.bin": b""}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    monkeypatch.setattr(split_scan, "WHOLE_BYTES", 1000, raising=False)
+    if not opens:
+        monkeypatch.setattr(split_scan, "open_path", lambda path: 1 / 0)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000" if opens else "100000")
+    try:
+        got = {r.file_name: (r.length, r.content_hash) for r in catalog_sources.folder_listing(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    # Spark's reader has no row for an empty file.
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items() if c}
